@@ -9,8 +9,9 @@ A pair is linked if the shingles that a banded alignment puts in a common order
 more of all shingles of the two. Classes are the connected components of the links.
 
 Texts with equal words are one class at once and stand in the search as one text. Candidates
-within a bucket are compared with its most connected text first; only texts that are then still
-in different classes are compared with each other.
+within a bucket are compared with its most connected text and with one drawn by a hash first (a
+different one in each of the text's buckets); only texts that are then still in different classes
+are compared with each other.
 
 Null and empty texts are alone in their class; other texts without a word are linked to equal
 texts only; a text of one to four words is one shingle. Rows without doc_id get no class.
@@ -39,7 +40,7 @@ SAMPLE, SKETCHES = 6, 32
 FEW = 30
 #: Cells of the 4-bit summary that spares far pairs the alignment; a pair at 0.8 falls below
 #: 0.8 less SLACK standard deviations in about 1 of 30,000 cases.
-CELLS, SLACK = 256, 4.0
+CELLS, SLACK = 512, 4.0
 
 _U = np.uint64
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 62, SKETCHES, dtype=np.int64).astype(_U) * _U(2) + _U(1)
@@ -105,7 +106,7 @@ def sketches(shingles: np.ndarray, text: np.ndarray, counts: np.ndarray) -> np.n
 
 def summary(shingles: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
     """For each text CELLS values of 4 bits: of the least shingle in each cell, 1 to 15; 0 where a
-    cell is empty. As 16 longs: 4 for the lowest bits of all cells, and so on."""
+    cell is empty. As longs: those with the lowest bits of all cells first, and so on."""
     cell = text * CELLS + (shingles & _U(CELLS - 1)).astype(np.int64)
     order = np.lexsort((shingles, cell))
     first = np.ones(len(order), bool)
@@ -203,7 +204,9 @@ def _could_link() -> F.Column:
             differ, some = differ.bitwiseOR(a.bitwiseXOR(b)), some.bitwiseOR(a).bitwiseOR(b)
         equal, blank = equal + 64 - F.bit_count(differ), blank + 64 - F.bit_count(some)
     full = F.lit(CELLS) - blank
-    return (F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n") - 1e-9) & ((equal - blank) >= SIMILAR * full - SLACK * F.sqrt(SIMILAR * (1 - SIMILAR) * full))
+    union = (F.col("a.n") + F.col("b.n")) / (1 + SIMILAR)  # of a pair at the limit
+    deviation = F.sqrt(SIMILAR * (1 - SIMILAR) * full * F.greatest(F.lit(0.0), 1 - full / union))  # each cell draws one of the union's shingles, without replacement
+    return (F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n") - 1e-9) & ((equal - blank) >= (SIMILAR + (1 - SIMILAR) / 15) * full - SLACK * deviation - 1)
 
 
 def _linked(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -238,7 +241,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met = cut(keys.join(shared, "key"), "buckets")
     degree = met.groupBy("doc_id").agg(F.sum("size").alias("degree"))
     members = cut(met.select("key", "doc_id").join(degree, "doc_id").join(texts.select("doc_id", "n", "cells"), "doc_id"), "members")
-    head = members.groupBy("key").agg(F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("h")).select("key", (-F.col("h.minus")).alias("head"))
+    best, any_one = F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("best"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("place"), "doc_id")).alias("any_one")
+    head = members.groupBy("key").agg(best, any_one).select("key", F.explode(F.array_distinct(F.array(-F.col("best.minus"), F.col("any_one.doc_id")))).alias("head"))
     heads = head.join(texts.select(F.col("doc_id").alias("head"), "n", "cells"), "head")
     a, b = members.alias("a"), heads.alias("b")
     first = cut(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") != F.col("b.head")) & _could_link()).select(F.least("a.doc_id", "b.head").alias("u"), F.greatest("a.doc_id", "b.head").alias("v")).distinct(), "pairs")
@@ -247,8 +251,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = members.join(parts, members["doc_id"] == parts["node"], "left").select("key", "doc_id", "n", "cells", F.coalesce("class", "doc_id").alias("class"))
     mixed = apart.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("key")
     rest = cut(apart.join(mixed, "key", "left_semi"), "rest")
+    rest = rest.join(rest.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "doc_id")  # 40 at most
+    once = F.col("a.key") == F.array_min(F.array_intersect("a.keys", "b.keys"))  # two texts meet in one of their common buckets only
     a, b = rest.alias("a"), rest.alias("b")
-    second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.class") != F.col("b.class")) & _could_link()).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v")).distinct()
+    second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.class") != F.col("b.class")) & _could_link() & once).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
     second = cut(second.join(first, ["u", "v"], "left_anti"), "pairs")
     links = cut(links.unionByName(_linked(second, profiles)), "links")
     parts = components(links)
