@@ -1,6 +1,6 @@
 """Words of many texts at once, as 64-bit hashes in numpy arrays.
 
-A word is a run of bytes of one class; bytes from 0x80 up belong to words, so UTF-8 sequences
+A-Z count as lower case. A word is a run of bytes of one class; bytes from 0x80 up belong to words, so UTF-8 sequences
 are never cut. The hash of a word is a polynomial over random 64-bit values of its bytes,
 taken from running sums, so no Python object is made per word."""
 
@@ -80,7 +80,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def words(column: pa.Array, kind: np.ndarray = SPACED) -> Words:
     data, offsets = text_bytes(column)
     n, texts = len(data), len(offsets) - 1
-    inside = kind[data]
+    folded = FOLD[data]
+    inside = kind[folded]
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     if n:
         before[1:], after[:-1] = inside[:-1], inside[1:]
@@ -90,7 +91,7 @@ def words(column: pa.Array, kind: np.ndarray = SPACED) -> Words:
     up, down = _power_arrays(n)
     sums = np.empty(n + 1, _U)
     sums[0] = 0
-    np.cumsum(_VALUE[FOLD[data]] * up, out=sums[1:])
+    np.cumsum(_VALUE[folded] * up, out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * down[start])
     text = np.searchsorted(offsets, start, "right") - 1
     return Words(hashes, text, start, end, np.searchsorted(text, np.arange(texts + 1)), data, offsets)
