@@ -14,6 +14,8 @@ under the same doc_id."""
 from __future__ import annotations
 
 import zlib
+from array import array
+from collections import deque
 from collections.abc import Iterator
 from itertools import chain
 
@@ -27,45 +29,79 @@ from .shared import cut, slices, table
 LENGTH = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.json"
-#: Distinct stretches between spaces whose ids a worker keeps: 150 bytes each, 60 MB at most.
-REMEMBERED = 400_000
+#: Distinct stretches between spaces whose ids a worker keeps: 200 bytes each, 120 MB at most.
+REMEMBERED = 600_000
+
+
+class Remembered(dict):
+    """Ids by stretch, and the stretches asked for in vain."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, stretch: str) -> bytes:
+        self.new.append(stretch)
+        self[stretch] = b""
+        return b""
 
 
 class Encoder:
-    """Ids of whole texts. A text falls apart before every single space, and no token of a
-    byte-level BPE with GPT-2's split rule reaches over such a place; stretches repeat, so their
-    ids are kept. Texts with white space before a space are encoded whole."""
+    """Ids of whole texts, as little-endian 32-bit numbers. A text falls apart before every single
+    space, and no token of a byte-level BPE with GPT-2's split rule reaches over such a place;
+    stretches repeat, so their ids are kept. New ones of Latin letters are split by that rule and
+    given to the tokenizer's own model word by word, which spares its bookkeeping of offsets; all
+    others, and texts with white space before a space or with the text of a special token, are
+    encoded whole."""
 
     def __init__(self, vocabulary: str):
         import re
 
         import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.mixed = re.compile(r"\s | $")
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+        self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.known, self.words = Remembered(), {}
+        # bytes as the byte-level vocabulary writes them: printable ones as themselves, the others from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def _learn(self) -> None:
+        latin = [x for x in self.known.new if x.isascii() or max(x) <= "\u024f"]
+        other = [x for x in self.known.new if not x.isascii() and max(x) > "\u024f"]
+        self.known.update(zip(other, self._encode([" " + x for x in other]), strict=True))
+        self.known.new.clear()
+        if not latin:
+            return
+        split = self.split(" " + " ".join(latin))
+        tokenize, words, letters = self.tokenizer.model.tokenize, self.words, self.letters
+        for word in dict.fromkeys(split):
+            if word not in words:
+                words[word] = array("I", [t.id for t in tokenize(word.encode().decode("latin-1").translate(letters))]).tobytes()
+        ids = list(map(words.__getitem__, split))
+        begins = [i for i, word in enumerate(split) if word[0] == " "]
+        self.known.update(zip(latin, (ids[i] if j - i == 1 else b"".join(ids[i:j]) for i, j in zip(begins, [*begins[1:], len(ids)], strict=True)), strict=True))
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        whole = [i for i, t in enumerate(texts) if self.mixed.search(t) or any(s in t for s in self.special)]
-        apart = dict.fromkeys(whole)
-        parts: list[list[str] | None] = []
-        for i, t in enumerate(texts):
-            if i in apart or not t:
-                parts.append(None)
-            else:
-                head, *tail = t.split(" ")
-                parts.append([head, *[" " + x for x in tail]] if head else [" " + x for x in tail])
-        new = list(set(chain.from_iterable(p for p in parts if p)).difference(self.known))
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            self.known.update(zip(some, (e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        rest = iter(self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)) if whole else iter(())
+            self.words.clear()
+        parts = [None if self.mixed.search(t) or any(s in t for s in self.special) else t.split(" ") for t in texts]
         get = self.known.__getitem__
-        return [next(rest).ids if i in apart else list(chain.from_iterable(map(get, p))) if p else [] for i, p in enumerate(parts)]
+        for p in parts:
+            if p:
+                deque(map(get, p[1:]), 0)
+        if self.known.new:
+            self._learn()
+        heads = iter(self._encode([t if p is None else p[0] for t, p in zip(texts, parts, strict=True)]))
+        return [next(heads) + b"".join(map(get, p[1:])) if p else next(heads) for p in parts]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -85,16 +121,17 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _cut_up(vocabulary: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary)
+        encode, last = encoder(vocabulary), np.array([end], "<u4").tobytes()
         for whole in batches:
             for batch in slices(whole, "text"):
                 out: list[tuple] = []
                 for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").fill_null("").to_pylist()), strict=True):
-                    a = np.array([*ids, end], "<u4")
-                    first = len(a) % length or length
-                    for piece, start in enumerate(chain((0,), range(first, len(a), length))):
+                    ids += last
+                    n = len(ids) // 4
+                    first = n % length or length
+                    for piece, start in enumerate(chain((0,), range(first, n, length))):
                         stop = first if piece == 0 else start + length
-                        out.append((doc, piece, start, stop - start, zlib.crc32(a[start:stop].tobytes())))
+                        out.append((doc, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
                 columns = list(zip(*out, strict=True)) or [[]] * 5
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
