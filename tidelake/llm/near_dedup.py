@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import cut, slices, table
+from .shared import Steps, slices, table
 from .tokens import LETTERS, Words, grams, mix, words
 
 SHINGLE = 5
@@ -135,7 +135,6 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests = [hashlib.blake2b(w.hash[a:b].tobytes() or w.data[w.offsets[i] : w.offsets[i + 1]].tobytes(), digest_size=16).digest() if b > a or w.offsets[i + 1] > w.offsets[i] else None for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True))]
             bands = sketches(shingles, text, counts)
             few = [shingles[a:b].view(np.int64).tolist() if 0 < b - a <= FEW / SIMILAR else None for a, b in zip(*(lambda f: (f[:-1].tolist(), f[1:].tolist()))(np.searchsorted(text, np.arange(n + 1))), strict=True)]
-            sequence = (w.hash & _U(0xFFFFFFFF)).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -144,12 +143,20 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     _lists(bands).filter(pa.array(np.ones(n, bool))),
                     pa.array(few, _LONGS),
                     _lists(summary(shingles, text, n)),
-                    pa.array([sequence[a:b].tobytes() for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)], pa.binary()),
                 ],
-                names=["doc_id", "digest", "n", "bands", "few", "cells", "sequence"],
+                names=["doc_id", "digest", "n", "bands", "few", "cells"],
             )
 
 
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            w = words(batch.column("text"), LETTERS)
+            hashes = (w.hash & _U(0xFFFFFFFF)).astype(np.uint32)
+            rows = [hashes[a:b].tobytes() for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "sequence"])
+
+
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Shingles that an alignment of the two texts' word hashes puts in a common order, as a share
     of all shingles of the two. Shingles differ within a text, so the alignment is the longest
@@ -209,12 +216,13 @@ def _could_link() -> F.Column:
     return (F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n") - 1e-9) & ((equal - blank) >= (SIMILAR + (1 - SIMILAR) / 15) * full - SLACK * deviation - 1)
 
 
-def _linked(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose texts align."""
+def _linked(pairs: DataFrame, rows: DataFrame, steps: Steps) -> DataFrame:
+    """The pairs (u, v) whose texts align. Only texts of some pair are cut into words again."""
     wanted = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    texts = cut(profiles.select("doc_id", "sequence").join(wanted, "doc_id", "left_semi"), "sequences")
+    texts = steps.cut(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sequences, "doc_id long, sequence binary"), "sequences")
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("sequence").alias(f"sequence_{c}"))
-    return pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "sequence_u", "sequence_v").mapInArrow(_verify, "u long, v long, similarity double").filter(F.col("similarity") >= SIMILAR - 1e-9)
+    found = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "sequence_u", "sequence_v").mapInArrow(_verify, "u long, v long, similarity double")
+    return found.filter(F.col("similarity") >= SIMILAR - 1e-9).select("u", "v").distinct()  # once for repeated rows
 
 
 def _prefixes(profiles: DataFrame) -> DataFrame:
@@ -229,34 +237,42 @@ def _prefixes(profiles: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, class_id (the least doc_id of the class), n_links (links of the text that stands for
     this document's words to other texts) of every document with a doc_id."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profiles = cut(rows.mapInArrow(_profile, "doc_id long, digest binary, n int, bands array<long>, few array<long>, cells array<long>, sequence binary").filter("doc_id is not null"), "profiles")
+    steps = Steps(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
+    profiles = steps.cut(rows.mapInArrow(_profile, "doc_id long, digest binary, n int, bands array<long>, few array<long>, cells array<long>"), "profiles")
     digest = F.coalesce("digest", F.encode(F.concat(F.lit("row "), F.col("doc_id").cast("string")), "utf-8"))
     copies = profiles.select("doc_id", digest.alias("digest"))
     least = copies.groupBy("digest").agg(F.min("doc_id").alias("text_id"))
-    of_text = cut(copies.join(least, "digest").select("doc_id", "text_id"), "copies")
-    texts = cut(profiles.join(of_text.filter("doc_id = text_id").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "bands", "few", "cells"), "texts").filter("n > 0")
+    of_text = steps.cut(copies.join(least, "digest").select("doc_id", "text_id"), "copies")
+    texts = steps.cut(profiles.join(of_text.filter("doc_id = text_id").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "bands", "few", "cells"), "texts").filter("n > 0")
+    steps.drop("profiles")
     keys = texts.filter(F.col("n") >= int(SIMILAR * FEW)).select("doc_id", F.explode("bands").alias("key")).unionByName(_prefixes(texts))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    met = cut(keys.join(shared, "key"), "buckets")
+    met = steps.cut(keys.join(shared, "key"), "buckets")
     degree = met.groupBy("doc_id").agg(F.sum("size").alias("degree"))
-    members = cut(met.select("key", "doc_id").join(degree, "doc_id").join(texts.select("doc_id", "n", "cells"), "doc_id"), "members")
+    members = met.select("key", "doc_id")
     best, any_one = F.max(F.struct("degree", (-F.col("doc_id")).alias("minus"))).alias("best"), F.min(F.struct(F.xxhash64("key", "doc_id").alias("place"), "doc_id")).alias("any_one")
-    head = members.groupBy("key").agg(best, any_one).select("key", F.explode(F.array_distinct(F.array(-F.col("best.minus"), F.col("any_one.doc_id")))).alias("head"))
-    heads = head.join(texts.select(F.col("doc_id").alias("head"), "n", "cells"), "head")
-    a, b = members.alias("a"), heads.alias("b")
-    first = cut(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") != F.col("b.head")) & _could_link()).select(F.least("a.doc_id", "b.head").alias("u"), F.greatest("a.doc_id", "b.head").alias("v")).distinct(), "pairs")
-    links = cut(_linked(first, profiles), "links")
+    head = members.join(degree, "doc_id").groupBy("key").agg(best, any_one).select("key", F.explode(F.array_distinct(F.array(-F.col("best.minus"), F.col("any_one.doc_id")))).alias("head"))
+    brief = texts.select("doc_id", "n", "cells")
+    # summaries join the pairs once each, not each of the up to SKETCHES buckets that a pair shares
+    near = members.join(head, "key").filter("doc_id <> head").select(F.least("doc_id", "head").alias("u"), F.greatest("doc_id", "head").alias("v")).distinct()
+    a, b = brief.alias("a"), brief.alias("b")
+    first = steps.cut(near.join(a, F.col("v") == F.col("a.doc_id")).join(b, (F.col("u") == F.col("b.doc_id")) & _could_link()).select("u", "v"), "pairs")
+    links = steps.cut(_linked(first, rows, steps), "links")
+    steps.drop("sequences")
     parts = components(links)
-    apart = members.join(parts, members["doc_id"] == parts["node"], "left").select("key", "doc_id", "n", "cells", F.coalesce("class", "doc_id").alias("class"))
+    apart = members.join(parts, members["doc_id"] == parts["node"], "left").select("key", "doc_id", F.coalesce("class", "doc_id").alias("class"))
     mixed = apart.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("key")
-    rest = cut(apart.join(mixed, "key", "left_semi"), "rest")
-    rest = rest.join(rest.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "doc_id")  # 40 at most
+    left = steps.cut(apart.join(mixed, "key", "left_semi"), "apart")
+    rest = steps.cut(left.join(left.groupBy("doc_id").agg(F.collect_set("key").alias("keys")), "doc_id").join(brief, "doc_id"), "rest")  # 40 keys at most
+    steps.drop("buckets", "apart")
     once = F.col("a.key") == F.array_min(F.array_intersect("a.keys", "b.keys"))  # two texts meet in one of their common buckets only
     a, b = rest.alias("a"), rest.alias("b")
     second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.class") != F.col("b.class")) & _could_link() & once).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
-    second = cut(second.join(first, ["u", "v"], "left_anti"), "pairs")
-    links = cut(links.unionByName(_linked(second, profiles)), "links")
+    second = steps.cut(second.join(first, ["u", "v"], "left_anti"), "more_pairs")
+    steps.drop("rest", "texts")
+    links = steps.cut(links.unionByName(_linked(second, rows, steps)), "links")
+    steps.drop("sequences", "pairs", "more_pairs")
     parts = components(links)
     number = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = parts.join(number, "node")

@@ -63,3 +63,24 @@ def slices(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Itera
         held += n
     if first < batch.num_rows:
         yield batch.slice(first)
+
+
+class Steps:
+    """Tables that the steps of one job write in the shared folder. Each is removed once all that
+    reads it is itself written, so that a job holds no more than its open steps."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[str, list[str]] = {}
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        df.write.parquet(path)
+        self._paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for path in self._paths.pop(name, ()):
+                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
