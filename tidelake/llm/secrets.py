@@ -75,12 +75,16 @@ def _scanned(rules: tuple[Rule, ...]):
     return run
 
 
+def _sign(rules: tuple[Rule, ...]) -> str:
+    """A pattern that every text with a match of any rule holds."""
+    sign = "|".join(f"(?:{r.sign or r.pattern})" for r in rules)
+    return sign.replace("(?:(?i)(?:", "(?i:(?:") if "(?i)" in sign else sign
+
+
 def blobs(versions: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """id, blob and, of texts that may hold a secret at all, the text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    sign = "|".join(f"(?:{r.sign or r.pattern})" for r in rules)
-    sign = sign.replace("(?:(?i)(?:", "(?i:(?:") if "(?i)" in sign else sign
-    return versions.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("blob"), F.when(text.rlike(sign), text).alias("text"))
+    return versions.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("blob"), F.when(text.rlike(_sign(rules)), text).alias("text"))
 
 
 def scan(held: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -114,9 +118,10 @@ MARK = "[SECRET]"
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """documents with MARK in place of every span (of overlapping ones, in place of what they
     cover together); n_chars follows. All else stays."""
-    held = cut(blobs(docs, "doc_id", "text", rules), "blobs")
-    found = scan(held, None, rules).filter(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    joined = docs.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(found, "__blob", "left")
+    sign = F.coalesce(F.col("text").rlike(_sign(rules)), F.lit(False))
+    maybe = docs.filter(sign)  # all other texts hold no secret and stay where they are
+    found = scan(blobs(maybe, "doc_id", "text", rules), None, rules).filter(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
+    joined = maybe.withColumn("__blob", F.sha2(F.coalesce("text", F.lit("")), 256)).join(found, "__blob", "left")
     none = F.array().cast("array<struct<start:int,end:int>>")
     # spans are in order of their starts: one that begins within the last one kept widens it
     last = lambda acc: F.element_at(acc, -1)
@@ -125,7 +130,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     out = joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.filter(~sign).unionByName(out.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
