@@ -218,7 +218,8 @@ def _could_link() -> F.Column:
 
 def _linked(pairs: DataFrame, rows: DataFrame, steps: Steps) -> DataFrame:
     """The pairs (u, v) whose texts align. Only texts of some pair are cut into words again."""
-    wanted = pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct()
+    # written first: Spark then knows its size, and broadcasts it only below its own threshold
+    wanted = steps.cut(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "wanted")
     texts = steps.cut(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sequences, "doc_id long, sequence binary"), "sequences")
     side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("sequence").alias(f"sequence_{c}"))
     found = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "sequence_u", "sequence_v").mapInArrow(_verify, "u long, v long, similarity double")
@@ -259,7 +260,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a, b = brief.alias("a"), brief.alias("b")
     first = steps.cut(near.join(a, F.col("v") == F.col("a.doc_id")).join(b, (F.col("u") == F.col("b.doc_id")) & _could_link()).select("u", "v"), "pairs")
     links = steps.cut(_linked(first, rows, steps), "links")
-    steps.drop("sequences")
+    steps.drop("sequences", "wanted")
     parts = components(links)
     apart = members.join(parts, members["doc_id"] == parts["node"], "left").select("key", "doc_id", F.coalesce("class", "doc_id").alias("class"))
     mixed = apart.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y").select("key")
@@ -272,7 +273,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     second = steps.cut(second.join(first, ["u", "v"], "left_anti"), "more_pairs")
     steps.drop("rest", "texts")
     links = steps.cut(links.unionByName(_linked(second, rows, steps)), "links")
-    steps.drop("sequences", "pairs", "more_pairs")
+    steps.drop("sequences", "wanted", "pairs", "more_pairs")
     parts = components(links)
     number = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     named = parts.join(number, "node")
