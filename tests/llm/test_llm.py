@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import textwrap
 
 import numpy as np
 import pyarrow as pa
@@ -267,3 +268,28 @@ def test_licenses(spark, nothing):
     assert [got[i]["license"] for i in range(7)] == ["MIT", None, None, None, None, None, "Proprietary"]
     assert [got[i]["notices"] for i in range(7)] == ["", "", "MIT", "", "", "", "Proprietary"]
     assert licenses.scan(df).count() == 8 and licenses.scan(nothing).count() == 0
+
+
+def test_license_files(spark):
+    """Whole licences as their files have them: titled, wrapped, with and without appendix."""
+    full = lambda name: open(f"{licenses.FOLDER}/{name}.txt", encoding="utf-8").read()
+    holder = "Copyright (c) 2020, Someone\n"
+    isc = textwrap.fill(licenses.TEXTS["ISC"].split("\n\n")[0], 72) + "\n\n" + textwrap.fill(licenses.TEXTS["ISC"].split("\n\n")[1], 72)
+    assert "\ncopyright notice" in isc  # so wrapped the line counts as a copyright line
+    files = [
+        ("MIT", "MIT License\n\n" + holder + "\n" + licenses.TEXTS["MIT"]),
+        ("MIT", "The MIT License (MIT)\n" + holder + textwrap.fill(licenses.TEXTS["MIT"].split("\n\n")[0], 76) + "\n\n" + "\n\n".join(licenses.TEXTS["MIT"].split("\n\n")[1:])),
+        ("ISC", "ISC License\n\n" + holder + "\n" + isc),
+        ("BSD-2-Clause", "BSD 2-Clause License\n\n" + holder + "All rights reserved.\n\n" + licenses.TEXTS["BSD-2-Clause"]),
+        ("BSD-3-Clause", holder + full("BSD-3-Clause")),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\n" + holder + "All rights reserved.\n\n" + full("BSD-3-Clause")),
+        ("Apache-2.0", full("Apache-2.0").replace("[yyyy] [name of copyright owner]", "2020 Someone")),
+        ("Apache-2.0", full("Apache-2.0").split("   APPENDIX")[0]),
+        *((name, full(name)) for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense", "0BSD", "BSL-1.0")),
+        ("GPL-3.0", full("GPL-3.0").split("How to Apply These")[0]),
+        (None, full("GPL-3.0")[:-2000]),
+        (None, "MIT License"),
+    ]
+    df = spark.createDataFrame([(i, t, "en", "s", 0, "x") for i, (_, t) in enumerate(files)], DOCS)
+    got = by_id(licenses.scan(df))
+    assert [got[i]["license"] for i in range(len(files))] == [name for name, _ in files]

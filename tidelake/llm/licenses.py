@@ -4,12 +4,21 @@ A text is made canonical: A-Z in lower case, copyright lines dropped, equivalent
 one, everything but letters and digits to single spaces. Its SHA-256 is joined to the digests of
 known licences. Documents are looked up whole; so is each of their lines, for one-line notices.
 
+Known are the texts below and the published ones in license_texts, one file for each SPDX name, in
+the forms that licence files have: with and without title, with "All rights reserved" under the
+copyright line, without the appendix on how to apply the licence, with one line a paragraph and,
+for short licences, wrapped at any usual width (a wrapped line may begin with the word copyright,
+which makes it a copyright line).
+
 Null and empty texts, and texts of punctuation or copyright lines alone, match nothing; repeated
 rows give repeated results; rows without doc_id are looked up like others."""
 
 from __future__ import annotations
 
-from functools import reduce
+import os
+import re
+import textwrap
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +62,41 @@ Permission is granted to anyone to use this software for any purpose, including
 
 3. This notice may not be removed or altered from any source distribution.""",
 }
+#: Published texts, one file for each.
+FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+#: Titles of licences whose terms begin without one.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "Simplified BSD License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "New BSD License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License", "BSD License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
+}
+#: Licences of which a text without its first words, up to these, is the same.
+TERMS = {
+    "Apache-2.0": ["TERMS AND CONDITIONS FOR USE", "1. Definitions."],
+    "BSL-1.0": ["Permission is hereby granted"],
+    "CC0-1.0": ["CC0 1.0 Universal", "Statement of Purpose"],
+    "GFDL-1.2": ["0. PREAMBLE"],
+    "GFDL-1.3": ["0. PREAMBLE"],
+    "GPL-1.0": ["Everyone is permitted to copy", "Preamble"],
+    "GPL-2.0": ["Everyone is permitted to copy", "Preamble"],
+    "GPL-3.0": ["Everyone is permitted to copy", "Preamble"],
+    "LGPL-2.0": ["Everyone is permitted to copy", "Preamble"],
+    "LGPL-2.1": ["Everyone is permitted to copy", "Preamble"],
+    "LGPL-3.0": ["Everyone is permitted to copy", "This version of the GNU Lesser"],
+    "MPL-1.1": ["1. Definitions."],
+    "MPL-2.0": ["1. Definitions"],
+}
+#: Where the appendix begins that files often leave out, and the line before it that they may keep.
+APPENDIX = [(r"\n[^\n]*APPENDIX: How to apply", "END OF TERMS AND CONDITIONS"), (r"\n[^\n]*How to Apply These Terms", "END OF TERMS AND CONDITIONS"), (r"\n[^\n]*ADDENDUM: How to use this License", ""), (r"\nExhibit A - Source Code Form", "")]
+#: The address of the Free Software Foundation in its licences.
+ADDRESSES = ["51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "<https://fsf.org/>", ""]
+#: Texts up to this size are known at all widths.
+SHORT = 4096
+WIDTHS = range(48, 121)
 #: Lines that begin so name the holder of the rights, not the terms.
 COPYRIGHT = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$"
 #: Equivalent spellings, applied to canonical words in this order.
@@ -89,13 +133,60 @@ def known(spark: SparkSession, entries: dict[str, list[str]]) -> DataFrame:
     return spark.createDataFrame(rows, "license string, text string").select("license", digest(F.col("text")).alias("digest")).groupBy("digest").agg(F.min("license").alias("license"))
 
 
+def _paragraphs(text: str) -> list[str]:
+    return [" ".join(p.split()) for p in re.split(r"\n[ \t]*\n", text.strip()) if p.strip()]
+
+
+def _form(text: str) -> str:
+    """Equal for texts that are equal once canonical: spares the table most of the forms."""
+    return " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(COPYRIGHT, "", text.lower())))
+
+
+def forms(name: str, text: str) -> list[str]:
+    """The text of a licence as licence files have it, each form once."""
+    bodies = [text]
+    for begin, closing in APPENDIX:
+        if m := re.search(begin, text):
+            head = text[: m.start()]
+            bodies += [head, head.replace(closing, "")] if closing else [head]
+    bodies += [re.sub(r"51 Franklin Street,[^\n]*", a, b) for b in bodies if "51 Franklin Street," in b for a in ADDRESSES]
+    bodies += [b[b.index(start) :] for b in bodies for start in TERMS.get(name, ()) if start in b]
+    short = len(text) <= SHORT
+    if short:  # items may have no numbers
+        bodies += [re.sub(r"(?m)^[ \t]*\d\.[ \t]", "", b) for b in bodies]
+    out: dict[str, str] = {}
+    for body in bodies:
+        paragraphs = _paragraphs(body)
+        layouts = [body, "\n\n".join(paragraphs)]
+        if short:
+            for width in WIDTHS:
+                for hanging in (0, 2, 3, 4):
+                    layouts.append("\n\n".join(textwrap.fill(p, width, subsequent_indent=" " * hanging if re.match(r"\d\. |Redistribut|Neither", p) else "", break_long_words=False, break_on_hyphens=False) for p in paragraphs))
+        for layout in {_form(x): x for x in layouts}.values():
+            for title in ("", *TITLES.get(name, ())):
+                for rights in ("", "All rights reserved.") if name.startswith("BSD-") else ("",):
+                    whole = "\n\n".join(x for x in (title, rights, layout) if x)
+                    out.setdefault(_form(whole), whole)
+    return list(out.values())
+
+
+@cache
+def published() -> dict[str, list[str]]:
+    """All forms of the whole licences, by SPDX name."""
+    texts = dict(TEXTS)
+    for file in sorted(os.listdir(FOLDER)):
+        with open(os.path.join(FOLDER, file), encoding="utf-8") as f:
+            texts[file.removesuffix(".txt")] = f.read()
+    return {name: forms(name, text) for name, text in texts.items()}
+
+
 def scan(docs: DataFrame, licenses: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, digest, license (of the whole text, or null), notices (licences of its lines, sorted,
     comma-joined), n_notices (lines that are notices) of every row. The lists of known licences are
     arguments, of a size that a program holds anyway; Spark compares it with its broadcast limit."""
     spark = docs.sparkSession
     texts = licenses if licenses is not None else {k: [*NOTICES.get(k, []), *([TEXTS[k]] if k in TEXTS else [])] for k in {**NOTICES, **TEXTS}}
-    table_of = known(spark, texts)
+    table_of = known(spark, texts if licenses is not None else {k: [*texts.get(k, []), *published().get(k, [])] for k in {**texts, **published()}})
     lines = {k: [t for t in v if "\n" not in t] for k, v in texts.items()}
     by_digest = F.map_from_entries(F.array(*[F.struct(digest(F.lit(t)).alias("key"), F.lit(k).alias("value")) for k, t in sorted({_canonical_key(t): (k, t) for k, v in lines.items() for t in v}.values())])) if any(lines.values()) else F.create_map().cast("map<string,string>")
     found = F.filter(F.transform(F.split("text", "\n", -1), lambda line: F.try_element_at(by_digest, digest(line))), lambda x: x.isNotNull())
