@@ -293,3 +293,26 @@ def test_license_files(spark):
     df = spark.createDataFrame([(i, t, "en", "s", 0, "x") for i, (_, t) in enumerate(files)], DOCS)
     got = by_id(licenses.scan(df))
     assert [got[i]["license"] for i in range(len(files))] == [name for name, _ in files]
+
+
+LONG = "This is a paragraph of the text that goes on for long enough to be seen as such by any measure."
+MENU = "<ul><li><a href=/1>One page</a></li><li><a href=/2>Another page</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    ("html", "kept"),
+    [
+        # headline, lead and closing part beside the inner body, between unmarked menus
+        (f"{MENU}<h1>Headline</h1><p>A short lead.</p><div>{f'<p>{LONG}</p>' * 6}</div><p>The end of it.</p><h3>More</h3>{MENU}", ["Headline", "A short lead.", *[LONG] * 6, "The end of it."]),
+        # blocks that are mostly links, inside and at the ends
+        (f"{MENU}<div><h1><a href=/>Linked headline</a></h1><p>{LONG}</p><ul><li><a href=/x>A linked item</a></li></ul><p><a href=/y>A linked paragraph</a>.</p><p>{LONG}</p><p>{LONG}</p><p><a href=/z>Source of this</a></p></div>{MENU}", ["Linked headline", LONG, "A linked item", "A linked paragraph.", LONG, LONG, "Source of this"]),
+        # text in two regions
+        (f"<div><h2>First</h2>{f'<p>{LONG}</p>' * 5}</div><div class=ad>Buy</div><div><h2>Second</h2><p>{LONG}</p></div>", ["First", *[LONG] * 5, "Second", LONG]),
+        # two articles, the second of them short
+        (f"<article><h1>A</h1>{f'<p>{LONG}</p>' * 4}</article><article><h1>B</h1><p>Brief.</p></article>", ["A", *[LONG] * 4, "B", "Brief."]),
+        # main around an article
+        (f"<main><h1>Over it</h1><article>{f'<p>{LONG}</p>' * 3}</article><p>Under it.</p></main>", ["Over it", *[LONG] * 3, "Under it."]),
+    ],
+)
+def test_main_text_is_whole(html, kept):
+    assert html_text.main_text(PAGE.replace("{}", html)).split("\n") == kept

@@ -2,10 +2,12 @@
 
 The standard library's parser streams a page's events; each block of text between block-level tags
 becomes a line with its characters, its tags and the elements it stands in. The ratio of text to
-tags per line is smoothed by a Gaussian and split into two clusters; the lines of the upper cluster
-show which element holds the article (an article or main element, or else the innermost one that
-has most of that text). The text is every line of that element, short ones too, apart from what
-stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
+tags per line is smoothed by a Gaussian and split into two clusters. Where article and main elements
+hold half of the text of the upper cluster's lines, all these elements together are the article; or
+else the region from the first to the last line of that cluster, with what stands beside it up to
+the next menu. The text is every line of it, short and linked ones too, apart from what stands in
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments. Links
+only serve to find the region.
 
 Null, empty and wordless pages give an empty text; broken markup is read as far as browsers would;
 repeated rows give repeated results."""
@@ -36,6 +38,8 @@ SIGNS = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 #: An open element of the first kind ends when one of the second kind begins.
 CLOSES = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE = HEADINGS | frozenset("p blockquote figcaption".split())
 SCOPES = frozenset("ul ol dl table tbody select article section main div td body nav aside footer header form".split())
 SIGMA = 1.0
 _WORDS = re.compile(r"[a-z0-9]+")
@@ -173,18 +177,38 @@ def main_text(html: str | None) -> str:
     chosen = content_lines(ratios) & np.array([not x[4] for x in lines])
     if not chosen.any():
         chosen = np.array([not x[4] for x in lines])
-    held: dict[int, int] = {}
-    for line, good in zip(lines, chosen, strict=True):
-        if good:
-            for n in line[3]:
-                held[n] = held.get(n, 0) + len(line[0])
-    total = sum(len(x[0]) for x, good in zip(lines, chosen, strict=True) if good)
-    articles = [n for n in held if page.names[n] in ("article", "main")]
-    article = max(articles, key=lambda n: (page.names[n] == "article" and 2 * held[n] >= total, held[n], n), default=None)
-    if article is not None and 2 * held[article] >= total:
-        return "\n".join(x[0] for x in lines if not x[4] and article in x[3])
-    home = max((n for n in held if 10 * held[n] >= 7 * total), default=None)  # the innermost has the highest number
-    return "\n".join(x[0] for x in lines if not x[4] and (home is None or home in x[3]) and 2 * x[2] <= len(x[0]))
+    own = np.array([any(page.names[n] in ("article", "main") for n in x[3]) for x in lines])
+    sizes = np.array([len(x[0]) for x in lines])
+    if 2 * sizes[chosen & own].sum() >= sizes[chosen].sum():
+        return "\n".join(x[0] for x, inside in zip(lines, own, strict=True) if inside and not x[4])
+    first, last = _region(page, chosen)
+    return "\n".join(x[0] for x in lines[first : last + 1] if not x[4])
+
+
+def _region(page: Lines, chosen: np.ndarray) -> tuple[int, int]:
+    """The first and the last line of the region that holds all chosen lines, and what stands beside
+    them up to the next menu: a block that is mostly link, unless it is a heading or a paragraph."""
+    lines = page.lines
+    linked = np.array([2 * x[2] > len(x[0]) for x in lines])
+    at = np.flatnonzero(chosen & ~linked if (chosen & ~linked).any() else chosen)
+
+    def block(i: int) -> str:
+        return next((page.names[n] for n in reversed(lines[i][3]) if page.names[n] in BLOCK), "")
+
+    def beside(step: int, i: int) -> int:
+        edge = i
+        while 0 <= i + step < len(lines):
+            i += step
+            if lines[i][4]:
+                continue
+            if linked[i] and block(i) not in PROSE:
+                while step > 0 and edge > at[0] and (block(edge) in HEADINGS or lines[edge][4]):
+                    edge -= 1  # a heading over the menu belongs to it
+                break
+            edge = i
+        return edge
+
+    return beside(-1, int(at[0])), beside(1, int(at[-1]))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
