@@ -316,3 +316,19 @@ MENU = "<ul><li><a href=/1>One page</a></li><li><a href=/2>Another page</a></li>
 )
 def test_main_text_is_whole(html, kept):
     assert html_text.main_text(PAGE.replace("{}", html)).split("\n") == kept
+
+
+def test_every_step_reads_all_training_documents(spark, monkeypatch):
+    texts = [prose(30, 900 + i) for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, summed = [], language_model._summed
+
+    def counted(docs, model):
+        out = summed(docs, model)
+        # each token has one feature of the first kind: the last column counts them
+        seen.append((model[1] is None, out[: language_model.FEATURES, -1].sum()))
+        return out
+
+    monkeypatch.setattr(language_model, "_summed", counted)
+    language_model.train(df, np.zeros(0, np.uint64), np.ones(language_model.CLASSES))
+    assert seen == [(True, 20 * 31), *[(False, 20 * 31)] * (len(seen) - 1)] and len(seen) > 3

@@ -4,9 +4,8 @@ log P(text) is the sum over its tokens of log P(class | context) + log P(token |
 the end of a text, the TOP most frequent training words one by one, and REST classes of all other
 words by their last two bytes. The class softmax has weights for hashed features of the context:
 the word before, the classes of the two words before, and the pair that skips one word. Weights
-start from the counts of a first part of the training documents and are then moved by gradients,
-summed over all tasks, of one further part after the other, so that the parts cover all training
-documents. Within a class a token has its smoothed share of the class's training tokens.
+start from the counts of all training documents and are then moved by gradients, summed over all
+tasks and all training documents in each of several rounds. Within a class a token has its smoothed share of the class's training tokens.
 
 Counts of all distinct training words stay distributed: documents are dealt to chunks of bounded
 size, each chunk asks for the counts of its own distinct words by a join, and is scored with its
@@ -33,7 +32,8 @@ TOP, REST = 39, 24
 CLASSES = 1 + TOP + REST
 #: Rows of weights for each of the three kinds of features.
 FEATURES = 4096
-PARTS = 3
+#: Gradient steps, each over all training documents.
+ROUNDS = 3
 #: Of the weights' start and of each gradient step.
 PRIOR, STEP, SMOOTH = 20.0, 0.7, 0.5
 #: Text of one chunk; a task scores one chunk at a time.
@@ -177,14 +177,13 @@ def _summed(docs: DataFrame, model: tuple) -> np.ndarray:
 
 def train(docs: DataFrame, top: np.ndarray, class_tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and bias of the class model from all rows of docs."""
-    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(PARTS))
     prior = (class_tokens + 1.0) / (class_tokens.sum() + CLASSES)
     bias = np.log(prior).astype(np.float32)
-    seen = _summed(docs.filter(part == 0), (top, None, None))
+    seen = _summed(docs, (top, None, None))
     share = (seen[:, :CLASSES] + PRIOR * prior) / (seen[:, CLASSES:] + PRIOR)
     weights = ((np.log(share) - np.log(prior)) / 2).astype(np.float32)
-    for k in range(1, PARTS):
-        moved = _summed(docs.filter(part == k), (top, weights, bias))
+    for k in range(1, ROUNDS + 1):
+        moved = _summed(docs, (top, weights, bias))
         expected = moved[:, CLASSES:] * prior + PRIOR
         weights = (weights + STEP / k * np.clip(moved[:, :CLASSES] / expected, -1.5, 1.5)).astype(np.float32)
     return weights, bias
