@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, slices, table
+from .shared import cut, runs, slices, table
 from .tokens import SPACED, _byte_class, grams, words
 
 THRESHOLD = 0.3
@@ -60,7 +60,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     size = np.diff(w.offsets)
     per_text = lambda values, first, some: np.add.reduceat(np.append(values, 0), first)[:n] * some if n else np.zeros(0)
     share = lambda a, b: np.sqrt(a / np.maximum(b, 1))
-    out = [share(per_text(s[w.data].astype(np.int64), closed, size > 0), size) for s in _SETS]
+    out = [share(per_text(s[w.data].astype(np.int32), closed, size > 0), size) for s in _SETS]
     count, some = w.counts, w.counts > 0
     length = w.end - w.start
     at = lambda values: per_text(values.astype(np.float64), np.append(w.first[:-1], len(values)), some)
@@ -102,11 +102,16 @@ def _distinct_count(hashes: np.ndarray, text: np.ndarray, texts: int) -> np.ndar
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(statistics(batch.column("text"))), pa.list_(pa.float64()))], names=["doc_id", "x"])
+            x = statistics(batch.column("text"))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, STATISTICS), pa.int32()), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *batch.columns[2:], lists], names=["doc_id", *batch.schema.names[2:], "x"])
 
 
-def vectors(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(_vectors, "doc_id long, x array<double>")
+def vectors(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, further columns and the statistics of each text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"), *more)
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(_vectors, ", ".join(["doc_id long", *(f"{c} {kinds[c]}" for c in more), "x array<double>"]))
 
 
 def held_out() -> F.Column:
@@ -148,16 +153,31 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _added(key: tuple, rows: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(b.as_buffer(), float) for b in rows.column("sums"))
-    return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
+    return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
-def fit(xs: DataFrame, labels: DataFrame) -> Model:
-    """xs: see vectors(). Learns from all labelled rows that are not held out."""
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = cut(xs.filter(~held_out()).join(marked, "doc_id"), "labelled")
-    partial = rows.select("x", "quality").mapInArrow(_sums, "sums binary").withColumn("k", F.pmod(F.monotonically_increasing_id(), F.lit(64)))
-    summed = partial.groupBy("k").applyInArrow(_added, "sums binary").collect()  # 64 rows at most
-    total = sum((np.frombuffer(r["sums"], float).reshape(2, STATISTICS + 1, -1) for r in summed), np.zeros((2, STATISTICS + 1, STATISTICS + 1)))
+def training(labels: DataFrame) -> DataFrame:
+    """doc_id, quality of the labelled documents to learn from."""
+    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    return rows.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def _differences(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist(), float).reshape(-1, STATISTICS)
+            yield pa.RecordBatch.from_arrays([pa.array(model.value.difference(x)), batch.column("quality")], names=["d", "quality"])
+
+    return run
+
+
+def fit(marked: DataFrame) -> Model:
+    """marked: doc_id, x (see vectors()) and quality of the rows to learn from."""
+    rows = cut(marked.select("doc_id", "x", "quality"), "labelled")
+    partial = rows.select("x", "quality").mapInArrow(_sums, "sums binary").withColumn("k", F.spark_partition_id())
+    for width in (1024, 32):  # sums of sums, so that no group grows with the number of tasks
+        partial = partial.withColumn("k", F.pmod("k", F.lit(width)).cast("int")).groupBy("k").applyInArrow(_added, "k int, sums binary")
+    total = sum((np.frombuffer(r["sums"], float).reshape(2, STATISTICS + 1, -1) for r in partial.collect()), np.zeros((2, STATISTICS + 1, STATISTICS + 1)))  # 32 rows at most
     n = total[:, 0, 0]
     if n.min() < 2:
         return Model([], [], [], constant=float(n[1] >= n[0]))
@@ -173,8 +193,8 @@ def fit(xs: DataFrame, labels: DataFrame) -> Model:
         factors.append(np.linalg.inv(c))
         determinants.append(float(2 * np.log(np.diag(c)).sum()))
     model = Model(means, factors, determinants)
-    some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS).select("x", "quality").collect()
-    d = model.difference(np.array([r["x"] for r in some]))
+    some = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CURVE_ROWS).mapInArrow(_differences(rows.sparkSession.sparkContext.broadcast(model)), "d double, quality int").collect()
+    d = np.array([r["d"] for r in some])
     y = np.array([r["quality"] for r in some], float)
     a, b = 1.0, 0.0
     for _ in range(50):  # Newton's method for the curve, with a weak prior on the slope
@@ -200,24 +220,23 @@ def _scored(model):
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     xs = cut(vectors(docs), "vectors")
-    model = docs.sparkSession.sparkContext.broadcast(fit(xs, labels))
+    model = docs.sparkSession.sparkContext.broadcast(fit(xs.join(training(labels), "doc_id")))
     scored = xs.mapInArrow(_scored(model), "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _kept(model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole, "text"):
-                yield batch.filter(pa.array(model.value.score(statistics(batch.column("text"))) >= THRESHOLD))
-
-    return run
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """documents without those that the classifier rejects. Of texts only those to learn from are
+    shuffled; the others are scored where they are, and rows stay outside of Python."""
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(training(labels), "doc_id")
+    model = docs.sparkSession.sparkContext.broadcast(fit(vectors(marked, "quality")))
 
+    @F.arrow_udf("double")
+    def scored(text: pa.Array) -> pa.Array:
+        parts = [model.value.score(statistics(text.slice(first, n))) for first, n in runs(text)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents without those that the classifier rejects; no shuffle of texts."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(vectors(docs), labels))
-    return docs.mapInArrow(_kept(model), docs.schema)
+    return docs.filter(scored("text") >= THRESHOLD)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task holds as numpy arrays at once (each byte becomes about 30).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,20 +51,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def runs(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """First row and number of rows of runs of at most so many bytes of text (a longer text stands alone)."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(column):
+        before = ends[first] - sizes[first]
+        last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield first, last - first
+        first = last
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of at most so many bytes of text (a longer text stands alone)."""
-    at = batch.schema.get_field_index(column)
-    import pyarrow.compute as pc
-
-    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
-    first = held = 0
-    for i, n in enumerate(sizes):
-        if held and held + n > most:
-            yield batch.slice(first, i - first)
-            first, held = i, 0
-        held += n
-    if first < batch.num_rows:
-        yield batch.slice(first)
+    for first, n in runs(batch.column(batch.schema.get_field_index(column)), most):
+        yield batch.slice(first, n)
 
 
 class Steps:
