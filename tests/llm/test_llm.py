@@ -1,8 +1,11 @@
 import hashlib
+import math
 import random
 import re
 import string
 import textwrap
+import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -120,10 +123,24 @@ def test_packing(spark, docs, nothing):
     assert packing.pack(nothing).count() == 0
 
 
-@pytest.mark.parametrize("text", ["", " ", "a b", "a  b\n c", "\n a", "x\t y", " lead trail ", "a <|endoftext|> b", "it's  'll", "a\n\nb c\n", "é\x85 à", "1 2 33,  4", "　 x"])
-def test_encoder(text):
+TRICKY = ["", " ", "a b", "a  b\n c", "\n a", "x\t y", " lead trail ", "a <|endoftext|> b", "<|endoftext|>x", "it's  'll", "a\n\nb c\n", "é\x85 à", "1 2 33,  4", "\u3000 x", "a \u2003b", "a \u3000 b", "a “q” — b", "a \xa0b", "a \x1c b", "日本 語 \U0001F600 x", "a " * 50, "  " * 40 + "x"]
+
+
+def test_encoder():
+    """One text alone, then all together, then again from what is kept."""
     e = packing.encoder(packing.VOCABULARY)
-    assert np.frombuffer(e([text])[0], "<u4").tolist() == e.tokenizer.encode(text, add_special_tokens=False).ids
+    expected = [e.tokenizer.encode(t, add_special_tokens=False).ids + [2] for t in TRICKY]
+    for t, ids in zip(TRICKY, expected, strict=True):
+        assert e(pa.array([t]))[0].tolist() == ids, t
+    for texts in (TRICKY, TRICKY[::-1], [None, *TRICKY]):
+        got, first = e(pa.array(texts, pa.string()))
+        assert [got[a:b].tolist() for a, b in zip(first, first[1:], strict=False)] == [expected[TRICKY.index(t or "")] for t in texts]
+    rng = random.Random(6)
+    letters = "ab  \n\t'1,é\u2003\u3000日-"
+    for _ in range(300):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(4)]
+        got, first = e(pa.array(texts))
+        assert [got[a : b - 1].tolist() for a, b in zip(first, first[1:], strict=False)] == [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts], texts
 
 
 def test_benchmark_hits(spark, docs):
@@ -190,18 +207,55 @@ def test_quality(spark, docs, nothing):
 
 
 def test_language_model(spark, docs, nothing):
+    """The base columns against a count in memory; the classes of unknown words too."""
+    rows = docs.collect()
     got = language_model.score(docs).collect()
-    assert len(got) == docs.count() and all(r["n_known"] <= r["n_tokens"] and np.isfinite(r["score"]) and r["score"] < 0 for r in got)
-    assert next(r for r in got if r["doc_id"] == 0)["n_tokens"] == 1
+    split = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or "")), None]
+    held = lambda i: zlib.crc32(str(i or 0).encode()) % 5 == 1
+    counts = Counter(w for r in rows if not held(r["doc_id"]) for w in split(r["text"]))
+    total, kinds = sum(counts.values()), len(counts)
+    expected = []
+    for r in rows:
+        words = split(r["text"])
+        expected.append((str(r["doc_id"]), held(r["doc_id"]), len(words), sum(w in counts for w in words), total, round(sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in words), 6)))
+    assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == sorted(expected)
+    assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in got)
     assert language_model.score(nothing).count() == 0
+    only_held = docs.filter(language_model.held_out())
+    assert only_held.count() == sum(held(r["doc_id"]) for r in rows) == language_model.score(only_held).count()
+
+
+def test_language_model_learns_context(spark):
+    """Held-out texts of a language with fixed successors are likelier than their words alone."""
+    follows = {w: WORDS[(7 * i + 3) % len(WORDS)] for i, w in enumerate(WORDS)}
+    texts = []
+    for i in range(400):
+        w = [WORDS[i % len(WORDS)]]
+        for _ in range(60):
+            w.append(follows[w[-1]])
+        texts.append((i, " ".join(w)))
+    got = language_model.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(2)).filter("held_out").collect()
+    assert sum(r["score"] for r in got) > 0.75 * sum(r["base_score"] for r in got)
 
 
 def test_classes_add_up():
+    """The probabilities of all tokens, one unknown word for each rest class included, add up to 1."""
     rng = np.random.default_rng(0)
-    weights, bias = rng.standard_normal((3 * language_model.FEATURES, language_model.CLASSES)), rng.standard_normal(language_model.CLASSES)
-    t = language_model.Tokens(pa.array(["a b c", "", None, "a"]))
-    z = language_model.log_softmax(weights, bias, t.features(t.classes(np.zeros(0, np.uint64))))
-    assert np.allclose(np.exp(z).sum(1), 1) and len(z) == 8
+    bits, m = 14, language_model
+    t = m.Tokens(pa.array(["a b c", "", None, "a"]))
+    own = m.classes(np.array([5, 3], np.uint64), np.array([97 * 256, 98 * 256]), np.ones(1 << 16))
+    leaf = own.leaves(t)
+    assert len(leaf) == 8 and (leaf[t.ends] == 0).all() and len({0, *own.rest_leaf.tolist(), *own.top_leaf.tolist()}) == m.REST + 3
+    weights, tree = rng.standard_normal((1 << bits, m.BRANCHES)).astype(np.float32), m.Tree(np.arange(m.LEAVES, dtype=float))
+    every = np.arange(m.LEAVES)
+    for i in range(len(leaf)):  # all leaves in the context of token i
+        total = np.zeros(m.LEAVES)
+        some = np.tile(leaf, (m.LEAVES, 1))
+        some[:, i] = every
+        rows = np.stack([t.rows(x, bits)[:, i] for x in some], 1)
+        for z, y in zip(tree.log_softmax(weights, rows, every), m.branches(every), strict=True):
+            total += z[every, y]
+        assert abs(np.exp(total).sum() - 1) < 1e-3
 
 
 def test_neighbours(spark):
@@ -316,19 +370,3 @@ MENU = "<ul><li><a href=/1>One page</a></li><li><a href=/2>Another page</a></li>
 )
 def test_main_text_is_whole(html, kept):
     assert html_text.main_text(PAGE.replace("{}", html)).split("\n") == kept
-
-
-def test_every_step_reads_all_training_documents(spark, monkeypatch):
-    texts = [prose(30, 900 + i) for i in range(20)]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    seen, summed = [], language_model._summed
-
-    def counted(docs, model):
-        out = summed(docs, model)
-        # each token has one feature of the first kind: the last column counts them
-        seen.append((model[1] is None, out[: language_model.FEATURES, -1].sum()))
-        return out
-
-    monkeypatch.setattr(language_model, "_summed", counted)
-    language_model.train(df, np.zeros(0, np.uint64), np.ones(language_model.CLASSES))
-    assert seen == [(True, 20 * 31), *[(False, 20 * 31)] * (len(seen) - 1)] and len(seen) > 3

@@ -1,46 +1,57 @@
 """Language-model scores from a hashed maximum-entropy model with a class-factored softmax.
 
-log P(text) is the sum over its tokens of log P(class | context) + log P(token | class). Classes:
-the end of a text, the TOP most frequent training words one by one, and REST classes of all other
-words by their last two bytes. The class softmax has weights for hashed features of the context:
-the word before, the classes of the two words before, and the pair that skips one word. Weights
-start from the counts of all training documents and are then moved by gradients, summed over all
-tasks and all training documents in each of several rounds. Within a class a token has its smoothed share of the class's training tokens.
-
-Counts of all distinct training words stay distributed: documents are dealt to chunks of bounded
-size, each chunk asks for the counts of its own distinct words by a join, and is scored with its
-answers in numpy batches. Words are known by 64-bit hashes (two of a billion words collide with
-a probability of 3 %).
+Classes of tokens form a tree of three levels of 16 branches. Its 4096 leaves are the end of a text,
+the TOP most frequent training words one by one, and REST classes of all other words, all in order of
+the words' last two bytes. log P(token | context) is the sum of the three branches' log
+probabilities, each from a softmax over hashed features of the context, and, within a REST class, of
+the word's smoothed share of the class's training tokens. Features: the word before, the groups (of
+16 leaves) of the two words before, and of the two words that a skip of one reaches, each alone at
+the first branch; the first two with the branch taken at the second; the first with both branches at
+the third. The number of hashed rows follows the number of training words up to 2**20.
+
+Training: each task moves its own copy of the weights by minibatch gradients over all its training
+documents; the copies are then averaged, row by row, by how often each task used the row. ROUNDS of
+this make the model. It is scored in sparse numpy batches.
+
+Counts of all distinct words stay distributed: documents are written once in files of bounded size;
+each file asks for the counts of its own distinct words by a join and is read and scored by the task
+that has its answers. Words are known by 64-bit hashes (two of a billion words collide with a
+probability of 3 %).
 
 Null and empty texts have the end token alone; rows without doc_id count as doc_id 0 for the split;
 repeated rows are scored, and counted, for each row. Without training documents every score is the
-uniform one over one unknown token."""
+uniform one over the branches and one unknown token."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, slices, table
+from .shared import cut, new_path, slices, table
 from .tokens import SPACED, words
 
-TOP, REST = 39, 24
-CLASSES = 1 + TOP + REST
-#: Rows of weights for each of the three kinds of features.
-FEATURES = 4096
-#: Gradient steps, each over all training documents.
-ROUNDS = 3
-#: Of the weights' start and of each gradient step.
-PRIOR, STEP, SMOOTH = 20.0, 0.7, 0.5
-#: Text of one chunk; a task scores one chunk at a time.
-CHUNK_TEXT = 32 << 20
+BRANCHES = 16
+LEAVES = BRANCHES**3
+REST = 1024
+TOP = LEAVES - 1 - REST
+#: Bits of the number of rows of weights: at least, and at most.
+BITS = (14, 20)
+ROUNDS = 1
+#: Of each gradient step; added to counts.
+STEP, SMOOTH = 0.25, 0.5
+#: Documents of one file, which one task scores.
+FILE_ROWS = 1 << 17
 #: The end of a text, among word hashes.
 END = np.uint64(0)
-_BATCH = 1 << 14
+_BATCH = 1 << 13
+_BLOCK = 256
 _U = np.uint64
 
 
@@ -49,8 +60,8 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 class Tokens:
-    """All tokens of some texts, an end after the words of each: hashes, text numbers, the rest
-    class that a word has unless it is a top one."""
+    """All tokens of some texts, an end after the words of each: hashes, text numbers, and the
+    ending of each word (its last two bytes)."""
 
     def __init__(self, column: pa.Array):
         w = words(column, SPACED)
@@ -58,183 +69,240 @@ class Tokens:
         place = np.arange(len(w.hash)) + w.text
         ends = w.first[1:] + np.arange(n)
         total = len(w.hash) + n
-        self.hash, self.text, self.rest = np.empty(total, _U), np.empty(total, np.int64), np.zeros(total, np.int64)
+        self.hash, self.text, self.ending = np.empty(total, _U), np.empty(total, np.int64), np.zeros(total, np.int64)
         self.hash[place], self.hash[ends] = np.maximum(w.hash, _U(1)), END
         self.text[place], self.text[ends] = w.text, np.arange(n)
         last = w.data[w.end - 1].astype(np.int64)
         other = np.where(w.end - w.start > 1, w.data[np.maximum(w.end - 2, 0)], 0).astype(np.int64)
-        self.rest[place] = (last * 257 + other) * 40503 % 65521 % REST
+        self.ending[place] = last * 256 + other
         self.first = ends + 1 - (w.counts + 1)
         self.ends = ends
 
-    def classes(self, top: np.ndarray) -> np.ndarray:
-        """top: the top words' hashes in ascending order."""
-        out = 1 + TOP + self.rest
-        if len(top):
-            at = np.minimum(np.searchsorted(top, self.hash), len(top) - 1)
-            out = np.where(top[at] == self.hash, 1 + at, out)
-        out[self.ends] = 0
+    def rows(self, leaf: np.ndarray, bits: int) -> np.ndarray:
+        """The rows of weights of each token: three for the first branch, two for the second, one
+        for the third. Before a text's first word stand ends."""
+        n = len(leaf)
+        since = np.arange(n) - self.first[self.text]
+        back = lambda values, k: np.where(since >= k, np.concatenate([np.zeros(k, values.dtype), values[: n - k]])[:n], 0).astype(_U)
+        group = leaf // BRANCHES
+        one, near, skip = back(self.hash, 1), back(group, 1), back(group, 2)
+        pair, skips = near * _U(4099) + skip, skip * _U(4099) + back(group, 3)
+        first, second = (leaf // BRANCHES**2).astype(_U) + _U(1), group.astype(_U) + _U(1 + BRANCHES)
+        out = np.empty((6, n), np.int32)
+        for k, (context, at) in enumerate(((one, 0), (pair, 0), (skips, 0), (one, first), (pair, first), (one, second))):
+            x = (context + _U((k + 1) << 40)) * _U(0x9E3779B97F4A7C15)
+            if k > 2:
+                x += at * _U(0xC2B2AE3D27D4EB4F)
+            x = (x ^ (x >> _U(31))) * _U(0xD6E8FEB86659FD93)
+            out[k] = (x >> _U(64 - bits)).astype(np.int32)
         return out
 
-    def features(self, classes: np.ndarray) -> np.ndarray:
-        """Three feature numbers a token; before a text's first word stand ends."""
-        n = len(classes)
-        since = np.arange(n) - self.first[self.text]
-        back = lambda values, k: np.where(since >= k, np.concatenate([np.zeros(k, values.dtype), values[: n - k]])[:n] if n else values, 0)
-        before = (back(self.hash, 1) >> _U(20)).astype(np.int64) % FEATURES
-        one, two, three = (back(classes, k) for k in (1, 2, 3))
-        return np.stack([before, FEATURES + (one * CLASSES + two) % FEATURES, 2 * FEATURES + (two * CLASSES + three) % FEATURES])
+
+@dataclass
+class Classes:
+    """Leaves of the tree, in order of word endings: top words (hashes in ascending order) and their
+    leaves; of each ending its rest class; of each rest class its leaf."""
+
+    top: np.ndarray
+    top_leaf: np.ndarray
+    rest: np.ndarray
+    rest_leaf: np.ndarray
+
+    def leaves(self, t: Tokens) -> np.ndarray:
+        out = self.rest_leaf[self.rest[t.ending]]
+        if len(self.top):
+            at = np.minimum(np.searchsorted(self.top, t.hash), len(self.top) - 1)
+            out = np.where(self.top[at] == t.hash, self.top_leaf[at], out)
+        out[t.ends] = 0
+        return out
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, features: np.ndarray) -> np.ndarray:
-    z = weights[features[0]]
-    z += weights[features[1]]
-    z += weights[features[2]]
-    z += bias
-    z -= z.max(1, keepdims=True)
-    z -= np.log(np.exp(z).sum(1, keepdims=True))
-    return z
+def classes(hashes: np.ndarray, endings: np.ndarray, tokens: np.ndarray) -> Classes:
+    """hashes, endings: of the top words. tokens: of each ending, the tokens of its other words;
+    endings in a row that have about the same number of tokens together are a rest class."""
+    mass = np.cumsum(tokens + 1e-6)
+    rest = np.minimum((mass - tokens / 2) / mass[-1] * REST, REST - 1).astype(np.int64)
+    begins = np.searchsorted(rest, np.arange(REST))
+    place = np.lexsort((np.arange(REST + len(hashes)), np.concatenate([begins, endings])))
+    leaf = np.empty(len(place), np.int64)
+    leaf[place] = 1 + np.arange(len(place))
+    order = np.argsort(hashes)
+    return Classes(hashes[order], leaf[REST:][order], rest, leaf[:REST])
+
+
+class Tree:
+    """The softmax of the three branches. bias: logarithms of the branches' shares of all tokens."""
+
+    def __init__(self, leaf_tokens: np.ndarray):
+        n = leaf_tokens.reshape(BRANCHES, BRANCHES, BRANCHES) + 1e-3
+        share = lambda x: np.log(x / x.sum(-1, keepdims=True)).astype(np.float32)
+        self.bias = (share(n.sum((1, 2)).reshape(1, -1)), share(n.sum(2)), share(n.reshape(-1, BRANCHES)))
+
+    def log_softmax(self, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> list[np.ndarray]:
+        """Log probabilities of all 16 branches at each of the three levels."""
+        first, second = leaf // BRANCHES**2, leaf // BRANCHES
+        out = []
+        for level, (own, at) in enumerate((((0, 1, 2), np.zeros(len(leaf), np.int64)), ((3, 4), first), ((5,), second))):
+            z = self.bias[level][at]
+            for k in own:
+                z += weights[rows[k]]
+            z -= z.max(1, keepdims=True)
+            z -= np.log(np.exp(z).sum(1, keepdims=True))
+            out.append(z)
+        return out
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def branches(leaf: np.ndarray) -> tuple[np.ndarray, ...]:
+    return leaf // BRANCHES**2, leaf // BRANCHES % BRANCHES, leaf % BRANCHES
+
+
+def learn(tree: Tree, weights: np.ndarray, squares: np.ndarray, used: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> None:
+    """One minibatch: moves the weights of the rows in use against the gradient, each by its own
+    step, which shrinks with the squares of the gradients that it has seen."""
+    n = len(leaf)
+    logs = tree.log_softmax(weights, rows, leaf)
+    gradient = np.exp(np.concatenate(logs))
+    for level, y in enumerate(branches(leaf)):
+        gradient[np.arange(level * n, level * n + n), y] -= 1
+    keys = rows.ravel()
+    source = np.concatenate([np.arange(n)] * 3 + [np.arange(n, 2 * n)] * 2 + [np.arange(2 * n, 3 * n)])
+    order = np.argsort(keys)
+    ranked = keys[order]
+    starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    at = ranked[starts]
+    total = np.add.reduceat(gradient[source[order]], starts, axis=0)
+    squares[at] += total * total
+    weights[at] -= STEP * total / np.sqrt(squares[at] + 1)
+    used[at] += np.diff(np.append(starts, len(keys)))
+
+
+def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each file its distinct words with their number among training tokens; the end of texts,
+    which every file has, carries the file's path."""
     held: list[tuple[np.ndarray, ...]] = []
+    now: tuple | None = None
 
-    def merged():
-        h, rest, n = (np.concatenate(x) for x in zip(*held, strict=True))
+    def merged() -> tuple[np.ndarray, ...]:
+        h, ending, n = (np.concatenate(x) for x in zip(*held, strict=True))
         h, at, back = np.unique(h, return_index=True, return_inverse=True)
-        return h, rest[at], np.bincount(back, n, len(h)).astype(np.int64)
+        return h, ending[at], np.bincount(back, n, len(h)).astype(np.int64)
 
-    def rows():
-        h, rest, n = held[0]
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(rest, pa.int32()), pa.array(n)], names=["hash", "rest", "n"])
+    def rows() -> Iterator[pa.RecordBatch]:
+        h, ending, n = merged()
+        for a in range(0, len(h), 1 << 16):
+            b = min(a + (1 << 16), len(h))
+            path = pa.array([now[1] if x else None for x in (h[a:b] == END).tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(b - a, now[0])), pa.array(h[a:b].view(np.int64)), pa.array(ending[a:b], pa.int32()), pa.array(n[a:b]), path], names=["file", "hash", "ending", "n", "path"])
+        held.clear()
 
     for whole in batches:
         for batch in slices(whole, "text"):
-            t = Tokens(batch.column("text"))
-            h, at, n = np.unique(t.hash, return_index=True, return_counts=True)
-            held.append((h, t.rest[at], n))
-            if sum(len(x[0]) for x in held) > 1_500_000:
-                held[:] = [merged()]
-                if len(held[0][0]) > 1_000_000:
-                    yield rows()
-                    held.clear()
+            files = batch.column("file").to_numpy()
+            for a, b in zip(*_stretches(files), strict=True):
+                if held and now[0] != files[a]:
+                    yield from rows()
+                now = (int(files[a]), batch.column("path")[int(a)].as_py())
+                part = batch.slice(a, b - a)
+                t = Tokens(part.column("text"))
+                coded = pa.array(t.hash).dictionary_encode()
+                which, h = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+                ending = np.zeros(len(h), np.int64)
+                ending[which] = t.ending
+                learns = ~part.column("held_out").to_numpy(zero_copy_only=False)[t.text]
+                held.append((h, ending, np.bincount(which, learns, len(h)).astype(np.int64)))
+                if len(held) > 8 and sum(len(x[0]) for x in held) > 1_000_000 + 2 * len(held[0][0]):
+                    held[:] = [merged()]
     if held:
-        held[:] = [merged()]
-        yield rows()
+        yield from rows()
 
 
-def _blocks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """A matrix as rows of 64 of its rows each, blocks of zeros left out."""
-    kept = [i for i in range(0, len(total), 64) if total[i : i + 64].any()]
-    yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array([total[i : i + 64].astype(np.float32).tobytes() for i in kept], pa.binary())], names=["at", "block"])
+def _stretches(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """First and last (exclusive) places of equal neighbours."""
+    edges = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return [0, *edges.tolist()], [*edges.tolist(), len(values)]
 
 
-def _gradient(model):
-    """Sums over a task's tokens: of class counts by feature (the last column has the number of
-    tokens), less those that the model expects, if there is one."""
+def _trained(model):
+    """A task's weights after all its documents, in blocks of rows, and how often it used each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top, weights, bias = model.value
-        total = np.zeros((3 * FEATURES, CLASSES + 1), np.float64)
-        flat = total[:, :CLASSES]
+        own, tree, bits, start = model.value
+        weights = np.zeros((1 << bits, BRANCHES), np.float32) if start is None else start.copy()
+        squares, used = np.zeros((1 << bits, BRANCHES), np.float32), np.zeros(1 << bits, np.float32)
         for whole in batches:
             for batch in slices(whole, "text"):
                 t = Tokens(batch.column("text"))
-                y = t.classes(top)
-                x = t.features(y)
-                for kind in x:
-                    flat += np.bincount(kind * CLASSES + y, minlength=flat.size).reshape(flat.shape)
-                    total[:, CLASSES] += np.bincount(kind, minlength=len(total))
-                if weights is None:
-                    continue
-                for a in range(0, len(y), _BATCH):
-                    p = np.exp(log_softmax(weights, bias, x[:, a : a + _BATCH]))
-                    for kind in x[:, a : a + _BATCH]:
-                        order = np.argsort(kind, kind="stable")
-                        rows = kind[order]
-                        starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-                        flat[rows[starts]] -= np.add.reduceat(p[order], starts, axis=0)
-        yield from _blocks(total)
+                leaf = own.leaves(t)
+                rows = t.rows(leaf, bits)
+                for a in range(0, len(leaf), _BATCH):
+                    learn(tree, weights, squares, used, rows[:, a : a + _BATCH], leaf[a : a + _BATCH])
+        kept = [i for i in range(0, 1 << bits, _BLOCK) if used[i : i + _BLOCK].any()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([i // _BLOCK for i in kept], pa.int32()),
+                pa.array([weights[i : i + _BLOCK].astype(np.float16).tobytes() for i in kept], pa.binary()),
+                pa.array([used[i : i + _BLOCK].tobytes() for i in kept], pa.binary()),
+            ],
+            names=["at", "weights", "used"],
+        )
 
     return run
 
 
-def _sum_blocks(key: tuple, rows: pa.Table) -> pa.Table:
-    total = np.zeros(64 * (CLASSES + 1), np.float64)
-    for b in rows.column("block"):
-        total += np.frombuffer(b.as_buffer(), np.float32)
-    return pa.table({"at": [key[0].as_py()], "block": [total.tobytes()]}, schema=pa.schema([("at", pa.int32()), ("block", pa.binary())]))
+_MEANS = "at int, weights binary, used binary"
 
 
-def _summed(docs: DataFrame, model: tuple) -> np.ndarray:
+def _mean(key: tuple, rows: pa.Table) -> pa.Table:
+    """The mean of some copies of a block, by the use of each row."""
+    total, used = np.zeros((_BLOCK, BRANCHES)), np.zeros(_BLOCK)
+    for w, u in zip(rows.column("weights"), rows.column("used"), strict=True):
+        n = np.frombuffer(u.as_buffer(), np.float32)
+        total += np.frombuffer(w.as_buffer(), np.float16).reshape(_BLOCK, BRANCHES) * n[:, None]
+        used += n
+    mean = total / np.maximum(used, 1)[:, None]
+    return pa.table({"at": pa.array([key[0].as_py()], pa.int32()), "weights": pa.array([mean.astype(np.float16).tobytes()], pa.binary()), "used": pa.array([used.astype(np.float32).tobytes()], pa.binary())})
+
+
+def train(docs: DataFrame, own: Classes, tree: Tree, bits: int, tasks: int) -> np.ndarray:
+    """Weights from all rows of docs, which so many tasks or so read."""
     spark = docs.sparkSession
-    parts = docs.select("text").mapInArrow(_gradient(spark.sparkContext.broadcast(model)), "at int, block binary")
-    out = np.zeros((3 * FEATURES, CLASSES + 1))
-    for r in parts.groupBy("at").applyInArrow(_sum_blocks, "at int, block binary").collect():  # of fixed size: 6 MB
-        out[r["at"] : r["at"] + 64] = np.frombuffer(r["block"], np.float64).reshape(64, -1)
-    return out
-
-
-def train(docs: DataFrame, top: np.ndarray, class_tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias of the class model from all rows of docs."""
-    prior = (class_tokens + 1.0) / (class_tokens.sum() + CLASSES)
-    bias = np.log(prior).astype(np.float32)
-    seen = _summed(docs, (top, None, None))
-    share = (seen[:, :CLASSES] + PRIOR * prior) / (seen[:, CLASSES:] + PRIOR)
-    weights = ((np.log(share) - np.log(prior)) / 2).astype(np.float32)
-    for k in range(1, ROUNDS + 1):
-        moved = _summed(docs, (top, weights, bias))
-        expected = moved[:, CLASSES:] * prior + PRIOR
-        weights = (weights + STEP / k * np.clip(moved[:, :CLASSES] / expected, -1.5, 1.5)).astype(np.float32)
-    return weights, bias
-
-
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, list[np.ndarray]] = {}
-    for whole in batches:
-        for batch in slices(whole, "text"):
-            t = Tokens(batch.column("text"))
-            chunk = batch.column("chunk").to_numpy()[t.text]
-            for c in np.unique(chunk).tolist():
-                held.setdefault(c, []).append(np.unique(t.hash[chunk == c]))
-                if len(held[c]) >= 8:
-                    held[c] = [np.unique(np.concatenate(held[c]))]
-    for c, arrays in held.items():
-        h = np.unique(np.concatenate(arrays))
-        for a in range(0, len(h), 1 << 16):
-            some = h[a : a + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), c, np.int32)), pa.array(some.view(np.int64))], names=["chunk", "hash"])
+    weights = None
+    for _ in range(ROUNDS):
+        model = spark.sparkContext.broadcast((own, tree, bits, weights))
+        copies = docs.select("text").mapInArrow(_trained(model), _MEANS)
+        if tasks > 512:  # means of means, so that no group grows with the number of tasks
+            copies = copies.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(tasks // 512 + 1))).groupBy("at", "part").applyInArrow(_mean, _MEANS)
+        weights = np.zeros((1 << bits, BRANCHES), np.float32) if weights is None else weights
+        for r in copies.groupBy("at").applyInArrow(_mean, _MEANS).select("at", "weights").toLocalIterator():  # 32 MB at most
+            weights[r["at"] * _BLOCK : (r["at"] + 1) * _BLOCK] = np.frombuffer(r["weights"], np.float16).reshape(_BLOCK, BRANCHES)
+        model.unpersist()
+    return weights
 
 
 def _score(model):
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        top, weights, bias, totals, distinct, all_tokens, all_words = model.value
-        hashes = answers.column("hash").to_numpy().view(_U)
+    def run(key: tuple, answers: pa.Table) -> pa.Table:
+        own, tree, bits, weights, shares, all_tokens, all_words = model.value
+        hashes, path = answers.column("hash").to_numpy().view(_U), next(p.as_py() for p in answers.column("path") if p.is_valid)
         order = np.argsort(hashes)
         hashes, counts = hashes[order], answers.column("n").to_numpy()[order]
-        share = np.ones(CLASSES)
-        share[1 + TOP :] = totals + SMOOTH * (distinct + 1)
-        out: dict[str, list] = {c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")}
-        for whole in docs.to_batches():
-            for batch in slices(whole, "text"):
-                t = Tokens(batch.column("text"))
-                n = batch.num_rows
-                at = np.minimum(np.searchsorted(hashes, t.hash), max(len(hashes) - 1, 0))
-                c = np.where(hashes[at] == t.hash, counts[at], 0) if len(hashes) else np.zeros(len(t.hash), np.int64)
-                y = t.classes(top)
-                x = t.features(y)
-                logp = np.where(y > TOP, np.log(np.maximum(c + SMOOTH, 1e-300)) - np.log(share[y]), 0.0)
-                for a in range(0, len(y), _BATCH):
-                    z = log_softmax(weights, bias, x[:, a : a + _BATCH])
-                    logp[a : a + _BATCH] += z[np.arange(len(z)), y[a : a + _BATCH]]
-                out["doc_id"] += batch.column("doc_id").to_pylist()
-                out["held_out"] += batch.column("held_out").to_pylist()
-                out["n_tokens"] += (t.ends - t.first + 1).tolist()
-                out["n_known"] += np.bincount(t.text, c > 0, n).astype(np.int64).tolist()
-                out["base_score"] += np.bincount(t.text, np.log10((c + SMOOTH) / (all_tokens + SMOOTH * (all_words + 1))), n).tolist()
-                out["score"] += (np.bincount(t.text, logp, n) / np.log(10)).tolist()
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table({c: pa.array(v, k) for (c, v), k in zip(out.items(), kinds, strict=True)})
+        out: list[list[np.ndarray]] = []
+        fs, place = pafs.FileSystem.from_uri(path)
+        with fs.open_input_file(place) as source:
+            for whole in pq.ParquetFile(source).iter_batches(batch_size=4096, columns=["doc_id", "held_out", "text"], use_threads=False):
+                for batch in slices(whole, "text"):
+                    t = Tokens(batch.column("text"))
+                    n = batch.num_rows
+                    c = counts[np.searchsorted(hashes, t.hash)]
+                    leaf = own.leaves(t)
+                    rows = t.rows(leaf, bits)
+                    logp = np.where(np.isnan(shares[leaf]), 0.0, np.log(c + SMOOTH) - shares[leaf])
+                    for a in range(0, len(leaf), _BATCH):
+                        some = leaf[a : a + _BATCH]
+                        for z, y in zip(tree.log_softmax(weights, rows[:, a : a + _BATCH], some), branches(some), strict=True):
+                            logp[a : a + _BATCH] += z[np.arange(len(some)), y]
+                    base = np.bincount(t.text, np.log10((c + SMOOTH) / (all_tokens + SMOOTH * (all_words + 1))), n)
+                    out.append([batch.column("doc_id"), batch.column("held_out"), pa.array(t.ends - t.first + 1), pa.array(np.bincount(t.text, c > 0, n).astype(np.int64)), pa.array(base), pa.array(np.bincount(t.text, logp, n) / np.log(10))])
+        return pa.table([pa.chunked_array(x) for x in zip(*out, strict=True)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
@@ -242,26 +310,34 @@ def _score(model):
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
+    folder = new_path(spark, "texts")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out().alias("held_out"))
-    training = rows.filter("not held_out")
-    counts = cut(training.mapInArrow(_word_counts, "hash long, rest int, n long").groupBy("hash").agg(F.first("rest").alias("rest"), F.sum("n").alias("n")), "counts")
-    n_tokens, n_words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    best = counts.filter("hash <> 0").orderBy(F.desc("n"), "hash").limit(TOP).collect()
-    ends = counts.filter("hash = 0").select("n").collect()
-    top = np.sort(np.array([r["hash"] for r in best], np.int64).view(_U))
-    by_hash = {int(np.int64(r["hash"]).view(_U)): r["n"] for r in best}
-    totals, distinct = np.zeros(REST), np.zeros(REST)
-    for r in counts.filter((F.col("hash") != 0) & ~F.col("hash").isin([r["hash"] for r in best])).groupBy("rest").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():  # REST rows
-        totals[r["rest"]], distinct[r["rest"]] = r["n"], r["words"]
-    class_tokens = np.concatenate([[ends[0]["n"] if ends else 0], [by_hash[h] for h in top.tolist()], np.zeros(TOP - len(top)), totals])
-    weights, bias = train(training, top, class_tokens)
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, round(size / CHUNK_TEXT), min(12, size >> 20))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")).repartition(chunks, "chunk")
-    asked = dealt.select("chunk", "text").mapInArrow(_distinct, "chunk int, hash long").distinct()
-    answers = asked.join(counts.select("hash", "n"), "hash").select("chunk", "hash", "n")
-    model = spark.sparkContext.broadcast((top, weights, bias, totals, distinct, n_tokens, n_words))
-    scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(folder)
+    rows = spark.read.schema(rows.schema).parquet(folder)
+    path = F.col("_metadata.file_path")
+    vocabulary = cut(rows.select("text", "held_out", F.xxhash64(path).alias("file"), path.alias("path")).mapInArrow(_vocabulary, "file long, hash long, ending int, n long, path string"), "vocabulary")
+    counts = cut(vocabulary.groupBy("hash").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")), "counts")
+    known = counts.filter("n > 0")
+    n_tokens, n_words = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    best = known.filter("hash <> 0").orderBy(F.desc("n"), "hash").limit(TOP).collect()
+    hashes, endings, times = (np.array([r[c] for r in best], np.int64) for c in ("hash", "ending", "n"))
+    other, distinct = np.zeros(1 << 16), np.zeros(1 << 16)
+    for r in known.filter("hash <> 0").groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():  # 65,536 rows at most
+        other[r["ending"]], distinct[r["ending"]] = r["n"], r["words"]
+    np.subtract.at(other, endings, times)
+    np.subtract.at(distinct, endings, 1)
+    own = classes(hashes.view(_U), endings, other)
+    leaf_tokens = np.zeros(LEAVES)
+    leaf_tokens[0] = n_tokens - times.sum() - other.sum()
+    leaf_tokens[own.top_leaf] = times[np.argsort(hashes.view(_U))]
+    leaf_tokens[own.rest_leaf] = np.bincount(own.rest, other, REST)
+    shares = np.full(LEAVES, np.nan)
+    shares[own.rest_leaf] = np.log(leaf_tokens[own.rest_leaf] + SMOOTH * (np.bincount(own.rest, distinct, REST) + 1))
+    tree, bits = Tree(leaf_tokens), int(np.clip(n_words.bit_length() - 4, *BITS))
+    weights = train(rows.filter("not held_out"), own, tree, bits, vocabulary.filter("path is not null").count())
+    answers = vocabulary.select("file", "hash", "path").join(counts.select("hash", "n"), "hash").select("file", "hash", "n", "path")
+    model = spark.sparkContext.broadcast((own, tree, bits, weights, shares, n_tokens, n_words))
+    scored = answers.groupBy("file").applyInArrow(_score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(n_tokens)).cast("long").alias("train_tokens"), "base_score", "score")
 
 

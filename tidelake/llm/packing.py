@@ -13,11 +13,9 @@ under the same doc_id."""
 
 from __future__ import annotations
 
-import zlib
-from array import array
-from collections import deque
 from collections.abc import Iterator
 from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -25,83 +23,139 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import cut, slices, table
+from .tokens import run_hashes, text_bytes
 
 LENGTH = 1024
 END = 2
 VOCABULARY = "byte_bpe_50k.json"
-#: Distinct stretches between spaces whose ids a worker keeps: 200 bytes each, 120 MB at most.
-REMEMBERED = 600_000
-
-
-class Remembered(dict):
-    """Ids by stretch, and the stretches asked for in vain."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, stretch: str) -> bytes:
-        self.new.append(stretch)
-        self[stretch] = b""
-        return b""
+#: What a worker keeps of stretches that it has met: so many stretches and ids, about 40 MB.
+STRETCHES, IDS = 600_000, 4_000_000
+#: White space beyond ASCII in UTF-8 by its first bytes; more is listed than is white space.
+_WIDE = {0xC2: ((0x85,), (0xA0,)), 0xE1: ((0x9A,),), 0xE2: (*((0x80, x) for x in (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)), (0x81, 0x9F)), 0xE3: ((0x80, 0x80),)}
+# kinds of bytes: of unknown use, letters, digits, apostrophes, other signs, line ends, spaces
+_OTHER, _LETTER, _DIGIT, _QUOTE, _SIGN, _LINE, _SPACE = range(7)
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[[0x27, 0x0A, 0x20]] = _QUOTE, _LINE, _SPACE
+#: Where a token ends for sure between two bytes of these kinds.
+_ENDS = np.zeros((7, 7), bool)
+for _a, _bs in {_LETTER: (_DIGIT, _QUOTE, _SIGN, _LINE), _DIGIT: (_LETTER, _QUOTE, _SIGN, _LINE), _SIGN: (_LETTER, _DIGIT, _LINE), _QUOTE: (_LINE,)}.items():
+    _ENDS[_a, list(_bs)] = True
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian 32-bit numbers. A text falls apart before every single
-    space, and no token of a byte-level BPE with GPT-2's split rule reaches over such a place;
-    stretches repeat, so their ids are kept. New ones of Latin letters are split by that rule and
-    given to the tokenizer's own model word by word, which spares its bookkeeping of offsets; all
-    others, and texts with white space before a space or with the text of a special token, are
-    encoded whole."""
+    """Ids of whole texts. GPT-2's split rule begins a token before every space that something other
+    than white space follows, whatever stands before it, and between letters, digits, signs and line
+    ends; there each text falls apart into stretches (see stretches). They repeat: their ids are
+    kept by hash, and only new ones are encoded, those of Latin letters with the tokenizer's own
+    model, which spares its bookkeeping of offsets."""
 
     def __init__(self, vocabulary: str):
-        import re
-
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.mixed = re.compile(r"\s | $")
+        self.marks = [s.encode() for s in self.special]
         self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.known, self.words = Remembered(), {}
         # bytes as the byte-level vocabulary writes them: printable ones as themselves, the others from 256 on
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
-
-    def _learn(self) -> None:
-        latin = [x for x in self.known.new if x.isascii() or max(x) <= "\u024f"]
-        other = [x for x in self.known.new if not x.isascii() and max(x) > "\u024f"]
-        self.known.update(zip(other, self._encode([" " + x for x in other]), strict=True))
-        self.known.new.clear()
-        if not latin:
-            return
-        split = self.split(" " + " ".join(latin))
-        tokenize, words, letters = self.tokenizer.model.tokenize, self.words, self.letters
-        for word in dict.fromkeys(split):
-            if word not in words:
-                words[word] = array("I", [t.id for t in tokenize(word.encode().decode("latin-1").translate(letters))]).tobytes()
-        ids = list(map(words.__getitem__, split))
-        begins = [i for i, word in enumerate(split) if word[0] == " "]
-        self.known.update(zip(latin, (ids[i] if j - i == 1 else b"".join(ids[i:j]) for i, j in zip(begins, [*begins[1:], len(ids)], strict=True)), strict=True))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.words.clear()
-        parts = [None if self.mixed.search(t) or any(s in t for s in self.special) else t.split(" ") for t in texts]
-        get = self.known.__getitem__
-        for p in parts:
-            if p:
-                deque(map(get, p[1:]), 0)
-        if self.known.new:
-            self._learn()
-        heads = iter(self._encode([t if p is None else p[0] for t, p in zip(texts, parts, strict=True)]))
-        return [next(heads) + b"".join(map(get, p[1:])) if p else next(heads) for p in parts]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = np.zeros(0, np.uint64)  # hashes in order, and where the ids of each are
+        self.begin = self.size = np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
+
+    def _encode(self, stretches: list[str]) -> list[list[int]]:
+        out: list[list[int]] = []
+        rest: list[int] = []
+        split, tokenize, letters = self.split, self.tokenizer.model.tokenize, self.letters
+        for x in stretches:
+            if (x.isascii() or max(x) <= "\u024f") and not any(s in x for s in self.special):
+                out.append([t.id for word in split(x) for t in tokenize(word.encode().decode("latin-1").translate(letters))])
+            else:
+                rest.append(len(out))
+                out.append([])
+        if rest:
+            for i, e in zip(rest, self.tokenizer.encode_batch_fast([stretches[i] for i in rest], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        return out
+
+    def _learn(self, hashes: np.ndarray, stretches: list[str]) -> None:
+        found = self._encode(stretches)
+        size = np.array([len(x) for x in found], np.int64)
+        total = int(size.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(total + self.used, "<u4")])
+        self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
+        begin = self.used + np.cumsum(size) - size
+        self.used += total
+        order = np.argsort(hashes)
+        at = np.searchsorted(self.known, hashes[order])
+        self.known, self.begin, self.size = (np.insert(x, at, y[order]) for x, y in ((self.known, hashes), (self.begin, begin), (self.size, size)))
+
+    def __call__(self, column: pa.Array, end: int = END) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, `end` after each, and where each text's begin; null counts as empty."""
+        if len(self.known) > STRETCHES or self.used > IDS:
+            self._forget()
+        data, offsets = text_bytes(column)
+        start, stop = stretches(data, offsets, self.marks)
+        text = np.searchsorted(offsets, start, "right") - 1
+        coded = pa.array(run_hashes(data, start, stop)).dictionary_encode()
+        which, hashes = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        at = np.searchsorted(self.known, hashes)
+        new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != hashes) if len(self.known) else np.arange(len(hashes))
+        if len(new):
+            first = np.empty(len(hashes), np.int64)
+            first[which[::-1]] = np.arange(len(which) - 1, -1, -1)
+            raw = data.tobytes()
+            self._learn(hashes[new], [raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), stop[first[new]].tolist(), strict=True)])
+            at = np.searchsorted(self.known, hashes)
+        size, begin = self.size[at][which], self.begin[at][which]
+        total = int(size.sum())
+        before = np.cumsum(size) - size
+        out = np.full(total + len(offsets) - 1, end, "<u4")
+        places = np.arange(total)
+        out[places + np.repeat(text, size)] = self.ids[places + np.repeat(begin - before, size)]
+        per_text = np.bincount(text, size, len(offsets) - 1).astype(np.int64) + 1
+        return out, np.concatenate(([0], np.cumsum(per_text)))
+
+
+def stretches(data: np.ndarray, offsets: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each stretch, in bytes. No token of the split rule reaches over a begin, and
+    a stretch alone is split like it is in its text."""
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kind = _KIND[data]
+    latin = np.flatnonzero(data == 0xC3)  # first bytes of the letters from U+00C0 on, and of two signs
+    latin = latin[(data[latin + 1] != 0x97) & (data[latin + 1] != 0xB7)]
+    kind[latin] = kind[latin + 1] = _LETTER
+    begins = np.zeros(n + 1, bool)
+    space = np.flatnonzero((kind[:-1] == _SPACE) & (data[1:] > 0x20))
+    wide = np.flatnonzero((data[space + 1] >= 0xC2) & (data[space + 1] <= 0xE3) & (data[space + 1] != 0xC3))
+    begins[space] = True
+    if len(wide):
+        lead, second, third = (data[np.minimum(space[wide] + k, n - 1)] for k in (1, 2, 3))
+        for byte, rests in _WIDE.items():
+            for rest in rests:
+                begins[space[wide[(lead == byte) & (second == rest[0]) & (third == rest[1] if len(rest) > 1 else True)]]] = False
+    begins[np.maximum(offsets[1:], 1) - 1] = False  # a text's last space
+    begins[1:n] |= _ENDS[kind[:-1], kind[1:]]
+    line = np.flatnonzero(kind[1:-1] == _LINE) + 1  # a line end alone between others
+    begins[line[_ENDS[kind[line - 1], _LINE] & (kind[line + 1] >= _LETTER) & (kind[line + 1] <= _SIGN)] + 1] = True
+    for mark in special:  # stay whole
+        for i in np.flatnonzero((data[:-1] == mark[0]) & (data[1:] == mark[1])).tolist():
+            begins[i + 1 : i + len(mark)] = False
+    begins[n] = False
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    start = np.flatnonzero(begins)
+    return start, np.append(start[1:], n)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -121,20 +175,20 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _cut_up(vocabulary: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = encoder(vocabulary), np.array([end], "<u4").tobytes()
+        encode = encoder(vocabulary)
         for whole in batches:
             for batch in slices(whole, "text"):
-                out: list[tuple] = []
-                for doc, ids in zip(batch.column("doc_id").to_pylist(), encode(batch.column("text").fill_null("").to_pylist()), strict=True):
-                    ids += last
-                    n = len(ids) // 4
-                    first = n % length or length
-                    for piece, start in enumerate(chain((0,), range(first, n, length))):
-                        stop = first if piece == 0 else start + length
-                        out.append((doc, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])))
-                columns = list(zip(*out, strict=True)) or [[]] * 5
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                ids, first = encode(batch.column("text"), end)
+                tokens = np.diff(first)
+                count = -(-tokens // length)
+                row = np.repeat(np.arange(len(tokens)), count)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+                remainder = tokens - (count - 1) * length  # of the first piece
+                start = np.where(piece == 0, 0, remainder[row] + (piece - 1) * length)
+                size = np.where(piece == 0, remainder[row], length)
+                raw = memoryview(ids.view(np.uint8))
+                checks = [crc32(raw[a:b]) for a, b in zip((4 * (first[row] + start)).tolist(), (4 * (first[row] + start + size)).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(size), pa.array(checks, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 

@@ -32,18 +32,37 @@ FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 32
 _VALUE = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.int64).astype(_U) * _U(2) + _U(1)
 _powers: list[np.ndarray] = []
+#: Bytes whose running sums are held at once.
+_BLOCK = 1 << 20
 
 
 def _power_arrays(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i below n, kept in the process."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, _BLOCK // 4)
         up, down = np.full(size, _BASE, _U), np.full(size, _INVERSE, _U)
         up[0] = down[0] = 1
         _powers[:] = [np.multiply.accumulate(up), np.multiply.accumulate(down)]
     return _powers[0][:n], _powers[1][:n]
 
 
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes; runs are in order and don't overlap. Running sums are
+    taken over some runs at a time, so that a long text needs no more memory than a block."""
+    out = np.empty(len(start), _U)
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + _BLOCK, "right")))
+        low, high = int(start[a]), int(end[b - 1])
+        up, down = _power_arrays(high - low)
+        sums = np.empty(high - low + 1, _U)
+        sums[0] = 0
+        np.cumsum(_VALUE[data[low:high]] * up, out=sums[1:])
+        out[a:b] = (sums[end[a:b] - low] - sums[start[a:b] - low]) * down[start[a:b] - low]
+        a = b
+    return mix(out)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
@@ -88,11 +107,7 @@ def words(column: pa.Array, kind: np.ndarray = SPACED) -> Words:
         before[offsets[:-1][offsets[:-1] < n]] = False
         after[offsets[1:][offsets[1:] > 0] - 1] = False
     start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    up, down = _power_arrays(n)
-    sums = np.empty(n + 1, _U)
-    sums[0] = 0
-    np.cumsum(_VALUE[folded] * up, out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * down[start])
+    hashes = run_hashes(folded, start, end)
     text = np.searchsorted(offsets, start, "right") - 1
     return Words(hashes, text, start, end, np.searchsorted(text, np.arange(texts + 1)), data, offsets)
 
