@@ -68,6 +68,14 @@ def slices(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Itera
         yield batch.slice(first, n)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A column name that is not among columns, in any case."""
+    taken = {c.lower() for c in columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 class Steps:
     """Tables that the steps of one job write in the shared folder. Each is removed once all that
     reads it is itself written, so that a job holds no more than its open steps."""
