@@ -15,6 +15,7 @@ rows give repeated results; rows without doc_id are looked up like others."""
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import textwrap
@@ -23,7 +24,7 @@ from functools import cache, reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import table
+from .shared import cut, table
 
 # One-line notices and whole licences in their published wording.
 NOTICES = {
@@ -115,10 +116,27 @@ SPELLINGS = [
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _equal_spellings(words: Column) -> Column:
+    """Whole words alone: each word has a space on both sides."""
+    padded = F.concat(F.lit(" "), F.replace(words, F.lit(" "), F.lit("  ")), F.lit(" "))
+    padded = reduce(lambda t, pair: F.replace(t, F.lit(_padded(pair[0])), F.lit(_padded(pair[1]))), SPELLINGS, padded)
+    return F.trim(F.replace(padded, F.lit("  "), F.lit(" ")))
+
+
+def _padded(words: str) -> str:
+    return f" {'  '.join(words.split())} "
+
+
 def canonical(text: Column) -> Column:
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), COPYRIGHT, "")
-    spaced = F.trim(F.regexp_replace(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-    return reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, spaced)
+    return _equal_spellings(F.trim(F.regexp_replace(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " ")))
+
+
+def canonical_lines(text: Column) -> Column:
+    """The lines of a text, all made canonical at once but for their spellings."""
+    plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), COPYRIGHT, "")
+    spaced = F.regexp_replace(plain, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
+    return F.transform(F.split(spaced, "\n", -1), F.trim)
 
 
 def digest(text: Column) -> Column:
@@ -183,20 +201,32 @@ def published() -> dict[str, list[str]]:
 def scan(docs: DataFrame, licenses: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, digest, license (of the whole text, or null), notices (licences of its lines, sorted,
     comma-joined), n_notices (lines that are notices) of every row. The lists of known licences are
-    arguments, of a size that a program holds anyway; Spark compares it with its broadcast limit."""
+    arguments, of a size that a program holds anyway; Spark compares it with its broadcast limit.
+    Only lines of a notice's length are hashed; texts are read once."""
     spark = docs.sparkSession
     texts = licenses if licenses is not None else {k: [*NOTICES.get(k, []), *([TEXTS[k]] if k in TEXTS else [])] for k in {**NOTICES, **TEXTS}}
-    table_of = known(spark, texts if licenses is not None else {k: [*texts.get(k, []), *published().get(k, [])] for k in {**texts, **published()}})
-    lines = {k: [t for t in v if "\n" not in t] for k, v in texts.items()}
-    by_digest = F.map_from_entries(F.array(*[F.struct(digest(F.lit(t)).alias("key"), F.lit(k).alias("value")) for k, t in sorted({_canonical_key(t): (k, t) for k, v in lines.items() for t in v}.values())])) if any(lines.values()) else F.create_map().cast("map<string,string>")
-    found = F.filter(F.transform(F.split("text", "\n", -1), lambda line: F.try_element_at(by_digest, digest(line))), lambda x: x.isNotNull())
-    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), F.when(F.col("text").isNotNull(), found).alias("found"))
-    joined = rows.join(table_of, "digest", "left")
-    return joined.select("doc_id", "digest", "license", F.coalesce(F.array_join(F.array_sort(F.array_distinct("found")), ","), F.lit("")).alias("notices"), F.coalesce(F.size("found"), F.lit(0)).cast("long").alias("n_notices"))
-
-
-def _canonical_key(text: str) -> str:
-    return " ".join("".join(c if c.isalnum() else " " for c in text.lower()).split())
+    whole = known(spark, texts if licenses is not None else {k: [*texts.get(k, []), *published().get(k, [])] for k in {**texts, **published()}})
+    notices = known(spark, {k: [t for t in v if "\n" not in t] for k, v in texts.items()}).filter("digest is not null")
+    lengths = sorted({n for v in texts.values() for t in v if "\n" not in t for n in _lengths(t)})
+    none = F.array().cast("array<string>")
+    of_length = F.filter(canonical_lines(F.col("text")), lambda x: F.length(x).isin(lengths)) if lengths else none
+    rows = cut(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", digest(F.col("text")).alias("digest"), F.coalesce(of_length, none).alias("lines")), "canonical")
+    line = F.sha2(_equal_spellings(F.col("line")), 256).alias("digest")
+    found = rows.filter(F.size("lines") > 0).select("row", F.explode("lines").alias("line")).select("row", line).join(notices, "digest")
+    per_row = found.groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"), F.count(F.lit(1)).alias("n_notices"))
+    joined = rows.drop("lines").join(whole.filter("digest is not null"), "digest", "left").join(per_row, "row", "left")
+    return joined.select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))
+
+
+def _lengths(notice: str) -> set[int]:
+    """Lengths that a line can have which is this notice but for its spellings."""
+    out: set[str] = set()
+    new = {" ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", notice.lower()))}
+    pairs = [tuple(" ".join(x.split()) for x in pair) for pair in SPELLINGS]
+    while new:
+        out |= new
+        new = {re.sub(rf"(?<![^ ]){x}(?![^ ])", y, w, count=1) for w in new for a, b in pairs for x, y in ((a, b), (b, a))} - out
+    return {len(w) for w in out}
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,23 +236,36 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sql_canonical(text: str) -> str:
     out = f"regexp_replace(translate({text}, '{_UPPER}', '{_LOWER}'), '(?m)^[ \\t]*(copyright|\\(c\\)|©)[^\\n]*$', '', 'g')"
-    out = f"trim(regexp_replace({out}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'))"
+    out = f"' ' || replace(trim(regexp_replace({out}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')), ' ', '  ') || ' '"
+    for a, b in SPELLINGS:
+        out = f"replace({out}, '{_padded(a)}', '{_padded(b)}')"
+    return f"trim(replace({out}, '  ', ' '))"
+
+
+def _digest(text: str) -> str:
+    words = _padded(_form("".join(c.lower() if c.isascii() else c for c in text)))
     for a, b in SPELLINGS:
-        out = f"replace({out}, '{a}', '{b}')"
-    return out
+        words = words.replace(_padded(a), _padded(b))
+    return hashlib.sha256(" ".join(words.split()).encode()).hexdigest()
 
 
 def sql() -> str:
-    """DuckDB SQL for query()."""
+    """DuckDB SQL for query(), which knows whole texts by their digests."""
     quoted = lambda t: "'" + t.replace("'", "''") + "'"
-    rows = [(k, t) for k in {**NOTICES, **TEXTS} for t in [*NOTICES.get(k, []), *([TEXTS[k]] if k in TEXTS else [])]]
-    values = ", ".join(f"({quoted(k)}, {quoted(t)}, {'true' if chr(10) not in t else 'false'})" for k, t in rows)
+    lines = ", ".join(f"({quoted(k)}, {quoted(t)})" for k, v in NOTICES.items() for t in v)
+    digests: dict[str, str] = {}
+    for k, v in [*NOTICES.items(), *((k, [t]) for k, t in TEXTS.items()), *published().items()]:
+        for t in v:
+            d = _digest(t)
+            digests[d] = min(k, digests.get(d, k))
+    values = ", ".join(f"('{k}', '{d}')" for d, k in digests.items())
     return f"""
-WITH known AS (SELECT sha256({_sql_canonical('t')}) AS digest, min(k) AS license, bool_or(line) AS line FROM (VALUES {values}) v(k, t, line) GROUP BY 1),
+WITH known(license, digest) AS (VALUES {values}),
+notices AS (SELECT sha256({_sql_canonical('t')}) AS digest, min(k) AS license FROM (VALUES {lines}) v(k, t) GROUP BY 1),
 canon AS (SELECT doc_id, text, row_number() OVER () AS rn, {_sql_canonical('text')} AS c FROM documents),
 lines AS (SELECT rn, unnest(string_split(text, chr(10))) AS line FROM canon),
 notes AS (SELECT l.rn, string_agg(DISTINCT k.license, ',' ORDER BY k.license) AS notices, count(*) AS n
-          FROM (SELECT rn, sha256({_sql_canonical('line')}) AS digest FROM lines WHERE {_sql_canonical('line')} <> '') l JOIN known k ON k.digest = l.digest AND k.line GROUP BY l.rn)
+          FROM (SELECT rn, sha256({_sql_canonical('line')}) AS digest FROM lines WHERE {_sql_canonical('line')} <> '') l JOIN notices k USING (digest) GROUP BY l.rn)
 SELECT c.doc_id, CASE WHEN c.c <> '' THEN sha256(c.c) END AS digest, k.license, coalesce(n.notices, '') AS notices, coalesce(n.n, 0) AS n_notices
 FROM canon c LEFT JOIN known k ON c.c <> '' AND k.digest = sha256(c.c) LEFT JOIN notes n ON n.rn = c.rn
 """
