@@ -6,8 +6,8 @@ the words' last two bytes. log P(token | context) is the sum of the three branch
 probabilities, each from a softmax over hashed features of the context, and, within a REST class, of
 the word's smoothed share of the class's training tokens. Features: the word before, the groups (of
 16 leaves) of the two words before, and of the two words that a skip of one reaches, each alone at
-the first branch; the first two with the branch taken at the second; the first with both branches at
-the third. The number of hashed rows follows the number of training words up to 2**20.
+the first branch; the word before and its group with the branch taken at the second; the word before
+with both branches at the third. The number of hashed rows follows the number of training words up to 2**20.
 
 Training: each task moves its own copy of the weights by minibatch gradients over all its training
 documents; the copies are then averaged, row by row, by how often each task used the row. ROUNDS of
@@ -46,6 +46,8 @@ BITS = (14, 20)
 ROUNDS = 1
 #: Of each gradient step; added to counts.
 STEP, SMOOTH = 0.25, 0.5
+#: Weights are at most so far from 0.
+MOST = 20.0
 #: Documents of one file, which one task scores.
 FILE_ROWS = 1 << 17
 #: The end of a text, among word hashes.
@@ -89,7 +91,7 @@ class Tokens:
         pair, skips = near * _U(4099) + skip, skip * _U(4099) + back(group, 3)
         first, second = (leaf // BRANCHES**2).astype(_U) + _U(1), group.astype(_U) + _U(1 + BRANCHES)
         out = np.empty((6, n), np.int32)
-        for k, (context, at) in enumerate(((one, 0), (pair, 0), (skips, 0), (one, first), (pair, first), (one, second))):
+        for k, (context, at) in enumerate(((one, 0), (pair, 0), (skips, 0), (one, first), (near, first), (one, second))):
             x = (context + _U((k + 1) << 40)) * _U(0x9E3779B97F4A7C15)
             if k > 2:
                 x += at * _U(0xC2B2AE3D27D4EB4F)
@@ -138,18 +140,25 @@ class Tree:
         share = lambda x: np.log(x / x.sum(-1, keepdims=True)).astype(np.float32)
         self.bias = (share(n.sum((1, 2)).reshape(1, -1)), share(n.sum(2)), share(n.reshape(-1, BRANCHES)))
 
-    def log_softmax(self, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> list[np.ndarray]:
-        """Log probabilities of all 16 branches at each of the three levels."""
-        first, second = leaf // BRANCHES**2, leaf // BRANCHES
-        out = []
-        for level, (own, at) in enumerate((((0, 1, 2), np.zeros(len(leaf), np.int64)), ((3, 4), first), ((5,), second))):
-            z = self.bias[level][at]
-            for k in own:
-                z += weights[rows[k]]
-            z -= z.max(1, keepdims=True)
-            z -= np.log(np.exp(z).sum(1, keepdims=True))
-            out.append(z)
-        return out
+    def softmax(self, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unscaled probabilities of all 16 branches, of all tokens at the first level, then at the
+        second, then at the third; and their sums."""
+        n = len(leaf)
+        z = np.empty((3 * n, BRANCHES), np.float32)
+        for level, own in enumerate(((0, 1, 2), (3, 4), (5,))):
+            part = z[level * n : (level + 1) * n]
+            np.take(weights, rows[own[0]], 0, out=part)
+            for k in own[1:]:
+                part += weights[rows[k]]
+            part += self.bias[level][leaf // BRANCHES ** (3 - level)]
+        np.exp(z, out=z)
+        return z, z @ np.ones(BRANCHES, np.float32)
+
+    def log_probability(self, weights: np.ndarray, rows: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Of each token's leaf."""
+        z, total = self.softmax(weights, rows, leaf)
+        chosen = z[np.arange(len(z)), np.concatenate(branches(leaf))]
+        return np.log(chosen / total).reshape(3, -1).sum(0)
 
 
 def branches(leaf: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -160,20 +169,30 @@ def learn(tree: Tree, weights: np.ndarray, squares: np.ndarray, used: np.ndarray
     """One minibatch: moves the weights of the rows in use against the gradient, each by its own
     step, which shrinks with the squares of the gradients that it has seen."""
     n = len(leaf)
-    logs = tree.log_softmax(weights, rows, leaf)
-    gradient = np.exp(np.concatenate(logs))
-    for level, y in enumerate(branches(leaf)):
-        gradient[np.arange(level * n, level * n + n), y] -= 1
+    gradient, total = tree.softmax(weights, rows, leaf)
+    gradient /= total[:, None]
+    gradient[np.arange(3 * n), np.concatenate(branches(leaf))] -= 1
     keys = rows.ravel()
     source = np.concatenate([np.arange(n)] * 3 + [np.arange(n, 2 * n)] * 2 + [np.arange(2 * n, 3 * n)])
     order = np.argsort(keys)
     ranked = keys[order]
     starts = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    at = ranked[starts]
-    total = np.add.reduceat(gradient[source[order]], starts, axis=0)
-    squares[at] += total * total
-    weights[at] -= STEP * total / np.sqrt(squares[at] + 1)
-    used[at] += np.diff(np.append(starts, len(keys)))
+    times = np.diff(np.append(starts, len(keys)))
+    at, source = ranked[starts], source[order]
+    total = gradient[source[starts]]
+    twice, often = np.flatnonzero(times == 2), np.flatnonzero(times > 2)
+    total[twice] += gradient[source[starts[twice] + 1]]
+    if len(often):
+        begins = np.cumsum(times[often]) - times[often]
+        total[often] = np.add.reduceat(gradient[source[np.repeat(times > 2, times)]], begins, axis=0)
+    seen = squares[at]
+    seen += total * total
+    squares[at] = seen
+    seen += 1
+    total /= np.sqrt(seen, out=seen)
+    total *= STEP
+    weights[at] -= total
+    used[at] += times
 
 
 def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,6 +294,7 @@ def train(docs: DataFrame, own: Classes, tree: Tree, bits: int, tasks: int) -> n
         weights = np.zeros((1 << bits, BRANCHES), np.float32) if weights is None else weights
         for r in copies.groupBy("at").applyInArrow(_mean, _MEANS).select("at", "weights").toLocalIterator():  # 32 MB at most
             weights[r["at"] * _BLOCK : (r["at"] + 1) * _BLOCK] = np.frombuffer(r["weights"], np.float16).reshape(_BLOCK, BRANCHES)
+        np.clip(weights, -MOST, MOST, out=weights)  # of sums of three the exponentials stay finite
         model.unpersist()
     return weights
 
@@ -297,9 +317,7 @@ def _score(model):
                     rows = t.rows(leaf, bits)
                     logp = np.where(np.isnan(shares[leaf]), 0.0, np.log(c + SMOOTH) - shares[leaf])
                     for a in range(0, len(leaf), _BATCH):
-                        some = leaf[a : a + _BATCH]
-                        for z, y in zip(tree.log_softmax(weights, rows[:, a : a + _BATCH], some), branches(some), strict=True):
-                            logp[a : a + _BATCH] += z[np.arange(len(some)), y]
+                        logp[a : a + _BATCH] += tree.log_probability(weights, rows[:, a : a + _BATCH], leaf[a : a + _BATCH])
                     base = np.bincount(t.text, np.log10((c + SMOOTH) / (all_tokens + SMOOTH * (all_words + 1))), n)
                     out.append([batch.column("doc_id"), batch.column("held_out"), pa.array(t.ends - t.first + 1), pa.array(np.bincount(t.text, c > 0, n).astype(np.int64)), pa.array(base), pa.array(np.bincount(t.text, logp, n) / np.log(10))])
         return pa.table([pa.chunked_array(x) for x in zip(*out, strict=True)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
