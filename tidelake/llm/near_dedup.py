@@ -14,8 +14,10 @@ different one in each of the text's buckets); only texts that are then still in
 are compared with each other.
 
 Null and empty texts are alone in their class; other texts without a word are linked to equal
-texts only; a text of one to four words is one shingle. Rows without doc_id get no class.
-Repeated rows share a doc_id and a class."""
+texts only; a text of one to four words is one shingle. Rows without doc_id get no class. Each row
+gets a row: repeated rows have one class, rows of one doc_id with different texts the class of each
+text. Texts are known by 64 bits of the digest of their words (two of a billion texts are taken for
+one with a probability of 3 %)."""
 
 from __future__ import annotations
 
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import Steps, slices, table
+from .shared import Steps, free_name, slices, table
 from .tokens import LETTERS, Words, grams, mix, words
 
 SHINGLE = 5
@@ -41,6 +43,8 @@ FEW = 30
 #: Cells of the 4-bit summary that spares far pairs the alignment; a pair at 0.8 falls below
 #: 0.8 less SLACK standard deviations in about 1 of 30,000 cases.
 CELLS, SLACK = 512, 4.0
+#: Tasks that the copies of one text, and the texts of one class, are dealt to.
+SALTS = 16
 
 _U = np.uint64
 _MULTIPLIERS = np.random.default_rng(7).integers(1, 1 << 62, SKETCHES, dtype=np.int64).astype(_U) * _U(2) + _U(1)
@@ -125,6 +129,16 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1]), pa.int32()), pa.array(rows.ravel()))
 
 
+def _keys(w: Words, texts: int) -> list[int | None]:
+    """What a text is known by: 64 bits of a digest of its words, or of all of it where it has none;
+    null for empty texts."""
+    out: list[int | None] = []
+    for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
+        raw = w.hash[a:b].tobytes() or w.data[w.offsets[i] : w.offsets[i + 1]].tobytes()
+        out.append(int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True) if raw else None)
+    return out
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in slices(whole, "text"):
@@ -132,19 +146,19 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = batch.num_rows
             shingles, text = shingled(w)
             counts = np.bincount(text, minlength=n)
-            digests = [hashlib.blake2b(w.hash[a:b].tobytes() or w.data[w.offsets[i] : w.offsets[i + 1]].tobytes(), digest_size=16).digest() if b > a or w.offsets[i + 1] > w.offsets[i] else None for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True))]
+            keys = _keys(w, n)
             bands = sketches(shingles, text, counts)
             few = [shingles[a:b].view(np.int64).tolist() if 0 < b - a <= FEW / SIMILAR else None for a, b in zip(*(lambda f: (f[:-1].tolist(), f[1:].tolist()))(np.searchsorted(text, np.arange(n + 1))), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(digests, pa.binary()),
+                    pa.array(keys, pa.int64()),
                     pa.array(counts, pa.int32()),
                     _lists(bands).filter(pa.array(np.ones(n, bool))),
                     pa.array(few, _LONGS),
                     _lists(summary(shingles, text, n)),
                 ],
-                names=["doc_id", "digest", "n", "bands", "few", "cells"],
+                names=["doc_id", "key", "n", "bands", "few", "cells"],
             )
 
 
@@ -154,7 +168,7 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w = words(batch.column("text"), LETTERS)
             hashes = (w.hash & _U(0xFFFFFFFF)).astype(np.uint32)
             rows = [hashes[a:b].tobytes() for a, b in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "sequence"])
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(w, batch.num_rows), pa.int64()), pa.array(rows, pa.binary())], names=["text_id", "sequence"])
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
@@ -216,14 +230,16 @@ def _could_link() -> F.Column:
     return (F.least("a.n", "b.n") >= SIMILAR * F.greatest("a.n", "b.n") - 1e-9) & ((equal - blank) >= (SIMILAR + (1 - SIMILAR) / 15) * full - SLACK * deviation - 1)
 
 
-def _linked(pairs: DataFrame, rows: DataFrame, steps: Steps) -> DataFrame:
-    """The pairs (u, v) whose texts align. Only texts of some pair are cut into words again."""
+def _linked(pairs: DataFrame, rows: DataFrame, alike: DataFrame, steps: Steps) -> DataFrame:
+    """The pairs (u, v) whose texts align. Only texts of some pair are cut into words again, from the
+    rows of their least doc_id."""
     # written first: Spark then knows its size, and broadcasts it only below its own threshold
-    wanted = steps.cut(pairs.select(F.col("u").alias("doc_id")).unionByName(pairs.select(F.col("v").alias("doc_id"))).distinct(), "wanted")
-    texts = steps.cut(rows.join(wanted, "doc_id", "left_semi").mapInArrow(_sequences, "doc_id long, sequence binary"), "sequences")
-    side = lambda c: texts.select(F.col("doc_id").alias(c), F.col("sequence").alias(f"sequence_{c}"))
+    wanted = steps.cut(pairs.select(F.col("u").alias("text_id")).unionByName(pairs.select(F.col("v").alias("text_id"))).distinct().join(alike, "text_id").select("text_id", F.col("least").alias("doc_id")), "wanted")
+    again = rows.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_sequences, "text_id long, sequence binary")
+    texts = steps.cut(again.join(wanted, "text_id", "left_semi").groupBy("text_id").agg(F.first("sequence").alias("sequence")), "sequences")
+    side = lambda c: texts.select(F.col("text_id").alias(c), F.col("sequence").alias(f"sequence_{c}"))
     found = pairs.join(side("v"), "v").join(side("u"), "u").select("u", "v", "sequence_u", "sequence_v").mapInArrow(_verify, "u long, v long, similarity double")
-    return found.filter(F.col("similarity") >= SIMILAR - 1e-9).select("u", "v").distinct()  # once for repeated rows
+    return found.filter(F.col("similarity") >= SIMILAR - 1e-9).select("u", "v").distinct()
 
 
 def _prefixes(profiles: DataFrame) -> DataFrame:
@@ -236,16 +252,20 @@ def _prefixes(profiles: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), n_links (links of the text that stands for
-    this document's words to other texts) of every document with a doc_id."""
+    """doc_id, class_id (the least doc_id of the class) of every row with a doc_id."""
+    return _classes(docs, id_col, text_col).select("doc_id", "class_id")
+
+
+def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_id (null for empty texts) and class_id of every row with a doc_id."""
     steps = Steps(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
-    profiles = steps.cut(rows.mapInArrow(_profile, "doc_id long, digest binary, n int, bands array<long>, few array<long>, cells array<long>"), "profiles")
-    digest = F.coalesce("digest", F.encode(F.concat(F.lit("row "), F.col("doc_id").cast("string")), "utf-8"))
-    copies = profiles.select("doc_id", digest.alias("digest"))
-    least = copies.groupBy("digest").agg(F.min("doc_id").alias("text_id"))
-    of_text = steps.cut(copies.join(least, "digest").select("doc_id", "text_id"), "copies")
-    texts = steps.cut(profiles.join(of_text.filter("doc_id = text_id").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "n", "bands", "few", "cells"), "texts").filter("n > 0")
+    profiles = steps.cut(rows.mapInArrow(_profile, "doc_id long, key long, n int, bands array<long>, few array<long>, cells array<long>"), "profiles")
+    of_text = steps.cut(profiles.select("doc_id", F.col("key").alias("text_id")), "copies")
+    known = profiles.filter(F.col("key").isNotNull() & (F.col("n") > 0))
+    alike = steps.cut(of_text.filter("text_id is not null").groupBy("text_id").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies")), "alike")
+    # inside the search doc_id is that of a text, and the row with the least doc_id stands for it
+    texts = steps.cut(known.groupBy(F.col("key").alias("doc_id")).agg(F.first(F.struct("n", "bands", "few", "cells")).alias("x")).select("doc_id", "x.*"), "texts")
     steps.drop("profiles")
     keys = texts.filter(F.col("n") >= int(SIMILAR * FEW)).select("doc_id", F.explode("bands").alias("key")).unionByName(_prefixes(texts))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
@@ -259,7 +279,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = members.join(head, "key").filter("doc_id <> head").select(F.least("doc_id", "head").alias("u"), F.greatest("doc_id", "head").alias("v")).distinct()
     a, b = brief.alias("a"), brief.alias("b")
     first = steps.cut(near.join(a, F.col("v") == F.col("a.doc_id")).join(b, (F.col("u") == F.col("b.doc_id")) & _could_link()).select("u", "v"), "pairs")
-    links = steps.cut(_linked(first, rows, steps), "links")
+    links = steps.cut(_linked(first, rows, alike, steps), "links")
     steps.drop("sequences", "wanted")
     parts = components(links)
     apart = members.join(parts, members["doc_id"] == parts["node"], "left").select("key", "doc_id", F.coalesce("class", "doc_id").alias("class"))
@@ -272,19 +292,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.class") != F.col("b.class")) & _could_link() & once).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
     second = steps.cut(second.join(first, ["u", "v"], "left_anti"), "more_pairs")
     steps.drop("rest", "texts")
-    links = steps.cut(links.unionByName(_linked(second, rows, steps)), "links")
+    links = steps.cut(links.unionByName(_linked(second, rows, alike, steps)), "links")
     steps.drop("sequences", "wanted", "pairs", "more_pairs")
     parts = components(links)
-    number = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    named = parts.join(number, "node")
-    return of_text.join(named, of_text["text_id"] == named["node"], "left").select("doc_id", F.coalesce("class", "text_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = _spread(parts.join(alike, parts["node"] == alike["text_id"]).select("text_id", "class", "least"), alike)
+    return _with_class(of_text, classes)
+
+
+def _spread(linked: DataFrame, alike: DataFrame) -> DataFrame:
+    """text_id, class_id of the texts that have a link or copies."""
+    salt = F.pmod(F.xxhash64("text_id"), F.lit(SALTS)).cast("int").alias("salt")
+    least = linked.groupBy("class").agg(F.min("least").alias("class_id")).select("class", "class_id", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
+    tied = linked.select("text_id", "class", salt).join(least, ["class", "salt"]).select("text_id", "class_id")
+    copies = alike.filter("copies > 1").select("text_id", F.col("least").alias("class_id"))
+    return tied.unionByName(copies).groupBy("text_id").agg(F.min("class_id").alias("class_id"))
+
+
+def _with_class(of_text: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each row with its class; copies of a text go to SALTS tasks, rows of texts alone to any."""
+    salted = classes.select("text_id", "class_id", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
+    rows = of_text.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    lookup = rows.filter("text_id is not null").join(salted, ["text_id", "salt"], "left")
+    out = lookup.select("doc_id", "text_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.unionByName(rows.filter("text_id is null").select("doc_id", "text_id", F.col("doc_id").alias("class_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """documents without all but the one of each class that has the least doc_id; repeated rows
-    are copies as well. Rows without doc_id stay."""
+    are copies as well. Rows without doc_id stay, and so do rows of a doc_id whose texts are of
+    different classes, one for each text."""
+    digest = free_name(docs.columns, "digest")
     keepers = near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(keepers, "doc_id", "left_semi").withColumn(digest, F.sha2("text", 256)).dropDuplicates(["doc_id", digest]).drop(digest)
     return kept.unionByName(docs.filter("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
