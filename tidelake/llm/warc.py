@@ -32,6 +32,8 @@ from .shared import cut, new_path, table
 LEAST = 100
 #: Bytes of one coalesced read, and of a gap that it reads over.
 READ_BYTES, GAP = 4 << 20, 64 << 10
+#: Tasks that copies of one payload are dealt to.
+SALTS = 16
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _INDEX = "page_id long, url string, file string, offset long, length long, payload_digest string, record_type string, refers_to long"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tidelake:page")
@@ -102,9 +104,13 @@ def write(pages: DataFrame, folder: str, least: int = LEAST, date: str = "2024-0
     """Writes a record per row of pages and returns the index, itself kept in the shared folder."""
     html = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", F.sha2(html, 256).alias("digest"), F.octet_length(html).alias("size"))
-    first = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    refers = F.when((F.col("size") >= least) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
-    typed = rows.join(first, "digest", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    # copies of one payload meet in SALTS tasks, payloads too small to be looked up in none of them
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    lookup = F.when(F.col("size") >= least, F.col("digest")).otherwise(F.concat(F.lit("small "), F.xxhash64("page_id", "url").cast("string")))
+    first = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    first = first.select(F.col("digest").alias("lookup"), "first", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
+    refers = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
+    typed = rows.select("*", lookup.alias("lookup"), salt.alias("salt")).join(first, ["lookup", "salt"], "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
     return cut(typed.mapInArrow(_written(folder, date), _INDEX), "index")
 
 
@@ -133,7 +139,9 @@ def read(index: DataFrame) -> DataFrame:
     record_type, refers_to, payload (null for revisits)."""
     place = F.struct("offset", "length")
     reads = index.groupBy("file", F.floor(F.col("offset") / READ_BYTES).alias("part")).agg(F.collect_list(place).alias("spans"))
-    return reads.select("file", "spans").mapInArrow(_read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    size = index.agg(F.sum("length")).first()[0] or 0
+    dealt = reads.select("file", "spans").repartition(max(1, -(-size // READ_BYTES)))  # by bytes to read, not by bytes of the index
+    return dealt.mapInArrow(_read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
