@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import cut, slices, table
+from .shared import cut, free_name, slices, table
 from .tokens import LETTERS, Words, mix, words
 
 WINDOW = 13
@@ -194,7 +195,7 @@ def match_benchmark(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = max(1, -(-total // (2 * AUTOMATON_WORDS)))  # a word and the space after it have two characters at least
     out = docs.select(F.col(id_col).alias(id_col), F.col(text_col).alias(text_col))
-    kind = f"{id_col} {dict(out.dtypes)[id_col]}, {text_col} string, n_words long, n_hit long, items array<string>, spans {_SPANS}"
+    kind = T.StructType([*out.schema, *T.StructType.fromDDL(f"n_words long, n_hit long, items array<string>, spans {_SPANS}")])
     results = []
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()
@@ -205,7 +206,8 @@ def match_benchmark(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_
 
 def _merged(docs: DataFrame, results: list[DataFrame], id_col: str, text_col: str) -> DataFrame:
     """Hits of several automata over the same documents, by document and text: the words hit by any."""
-    key = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    none = F.concat(F.lit("none "), F.monotonically_increasing_id().cast("string"))  # wordless texts don't meet
+    key = F.when(F.col("n_words") > 0, F.sha2(F.col(text_col), 256)).otherwise(none)
     found = [r.filter("n_hit > 0").select(key.alias("key"), "items", "spans").dropDuplicates(["key"]) for r in results]
     every = found[0]
     for more in found[1:]:
@@ -213,7 +215,7 @@ def _merged(docs: DataFrame, results: list[DataFrame], id_col: str, text_col: st
     gathered = cut(every.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("more_items"), F.array_distinct(F.flatten(F.collect_list("spans"))).alias("more_spans")), "hits")
     joined = results[0].withColumn("key", key).join(gathered, "key", "left")
     empty = F.array().cast("array<string>")
-    return joined.select(id_col, text_col, "n_words", F.array_sort(F.coalesce("more_items", empty)).alias("items"), F.coalesce("more_spans", F.array().cast(_SPANS)).alias("spans")).mapInArrow(_counted(text_col), f"{id_col} {dict(docs.dtypes)[id_col]}, {text_col} string, n_words long, n_hit long, items array<string>, spans {_SPANS}")
+    return joined.select(id_col, text_col, "n_words", F.array_sort(F.coalesce("more_items", empty)).alias("items"), F.coalesce("more_spans", F.array().cast(_SPANS)).alias("spans")).mapInArrow(_counted(text_col), results[0].schema)
 
 
 def _counted(text_col: str):
@@ -247,14 +249,14 @@ def is_contaminated() -> F.Column:
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """documents without the contaminated ones; what a benchmark window hits in the others is cut
     out of their texts (n_chars follows). Any further columns stay as they are."""
-    names = docs.columns
+    names, was_cut = docs.columns, free_name(docs.columns, "was_cut")
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("rest"), "text")
     found = match_benchmark(packed, items, id_col="rest").filter(~is_contaminated())
     cuts = F.reverse(F.array_sort("spans"))
     text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.aggregate(cuts, F.col("text"), lambda t, s: F.concat(F.substring(t, F.lit(1), s["start"]), F.substring(t, s["end"] + 1, F.length(t)))))
-    out = found.select("rest.*", text.alias("text"), (F.size("spans") > 0).alias("__cut"))
+    out = found.select("rest.*", text.alias("text"), (F.size("spans") > 0).alias(was_cut))
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(was_cut), F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in names])
 
 

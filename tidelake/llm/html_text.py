@@ -7,7 +7,9 @@ hold half of the text of the upper cluster's lines, all these elements together
 else the region from the first to the last line of that cluster, with what stands beside it up to
 the next menu. The text is every line of it, short and linked ones too, apart from what stands in
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments. Links
-only serve to find the region.
+only serve to find the region. Tags and whole words in class or id name those parts, unless an
+article stands within them; where a word is only a part of a name (has-sidebar, related-work), the
+clusters decide: such a part is left out if less than half of its text is in the upper one.
 
 Null, empty and wordless pages give an empty text; broken markup is read as far as browsers would;
 repeated rows give repeated results."""
@@ -42,18 +44,24 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PROSE = HEADINGS | frozenset("p blockquote figcaption".split())
 SCOPES = frozenset("ul ol dl table tbody select article section main div td body nav aside footer header form".split())
 SIGMA = 1.0
+#: Parts of a name that say where a thing is or what shape it has, not what it is.
+SHAPES = frozenset("list box section area container wrapper wrap block item items inner outer left right top bottom primary secondary site page global main slot unit bar link links panel group row col column".split())
 _WORDS = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
 
 class Lines(HTMLParser):
     """lines: of each block its text, its tags, the characters in links, the elements around it
-    (numbers, outermost first) and whether it is outside of any article."""
+    (numbers, outermost first) and whether it is outside of any article. doubtful: elements that a
+    part of a name says are outside; named: those that a whole name does."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # tag, number, outside
         self.names: list[str] = []
+        self.doubtful: set[int] = set()
+        self.named: set[int] = set()
+        self.holds: set[int] = set()  # an article or main element
         self.lines: list[tuple[str, int, int, tuple[int, ...], bool]] = []
         self.text: list[str] = []
         self.tags = self.linked = 0
@@ -76,9 +84,13 @@ class Lines(HTMLParser):
         for name, value in attrs:
             value = (value or "").lower()
             if name in ("class", "id"):
-                said = set(_WORDS.findall(value))
-                if said & SIGNS or not inside and "header" in said:
-                    return True
+                for token in value.split():
+                    parts = _WORDS.findall(token)
+                    said = [p for p in parts if p in SIGNS or not inside and p == "header"]
+                    if said and all(p in SIGNS or p in SHAPES or p.isdigit() or p == "header" for p in parts):
+                        self.named.add(len(self.names))
+                    elif said:
+                        self.doubtful.add(len(self.names))
             elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value):
                 return True
         return False
@@ -112,6 +124,8 @@ class Lines(HTMLParser):
         if tag == "body":  # an unclosed head ends here
             self.open = [x for x in self.open if x[0] == "html"]
         self.open.append((tag, len(self.names), self._outside(tag, attrs)))
+        if tag in ("article", "main"):
+            self.holds.update(n for _, n, _ in self.open[:-1])
         self.names.append(tag)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -170,25 +184,46 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     page = read(html)
-    lines = page.lines
-    if all(outside for *_, outside in lines):
-        return ""
-    ratios = np.array([0.0 if outside else max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, outside in lines])
-    chosen = content_lines(ratios) & np.array([not x[4] for x in lines])
+    left_out = page.named - page.holds
+    lines = [(*x[:4], x[4] or not left_out.isdisjoint(x[3])) for x in page.lines]
+    chosen, lines = _chosen(lines, page)
     if not chosen.any():
-        chosen = np.array([not x[4] for x in lines])
+        return ""
     own = np.array([any(page.names[n] in ("article", "main") for n in x[3]) for x in lines])
     sizes = np.array([len(x[0]) for x in lines])
     if 2 * sizes[chosen & own].sum() >= sizes[chosen].sum():
         return "\n".join(x[0] for x, inside in zip(lines, own, strict=True) if inside and not x[4])
-    first, last = _region(page, chosen)
+    first, last = _region(page, lines, chosen)
     return "\n".join(x[0] for x in lines[first : last + 1] if not x[4])
 
 
-def _region(page: Lines, chosen: np.ndarray) -> tuple[int, int]:
+def _chosen(lines: list[tuple], page: Lines) -> tuple[np.ndarray, list[tuple]]:
+    """Lines of the upper cluster, and all lines after doubtful elements have been judged by it."""
+    if all(x[4] for x in lines):
+        return np.zeros(len(lines), bool), lines
+    inside = np.array([not x[4] for x in lines])
+    ratios = np.array([0.0 if outside else max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, outside in lines])
+    chosen = content_lines(ratios) & inside
+    if not chosen.any():
+        chosen = inside
+    sizes, upper = np.array([len(x[0]) for x in lines]), np.array([len(x[0]) if c else 0 for x, c in zip(lines, chosen, strict=True)])
+    judged: set[int] = set()
+    for n in page.doubtful - page.holds:
+        at = np.array([i for i, x in enumerate(lines) if n in x[3] and not x[4]], int)
+        if len(at) and 2 * upper[at].sum() < sizes[at].sum():
+            judged.add(n)
+    if not judged:
+        return chosen, lines
+    lines = [(*x[:4], x[4] or not judged.isdisjoint(x[3])) for x in lines]
+    if all(x[4] for x in lines):
+        return chosen, [(*x[:4], False) if c else x for x, c in zip(lines, chosen, strict=True)]
+    kept = np.array([not x[4] for x in lines])
+    return (chosen & kept if (chosen & kept).any() else kept), lines
+
+
+def _region(page: Lines, lines: list[tuple], chosen: np.ndarray) -> tuple[int, int]:
     """The first and the last line of the region that holds all chosen lines, and what stands beside
     them up to the next menu: a block that is mostly link, unless it is a heading or a paragraph."""
-    lines = page.lines
     linked = np.array([2 * x[2] > len(x[0]) for x in lines])
     at = np.flatnonzero(chosen & ~linked if (chosen & ~linked).any() else chosen)
 

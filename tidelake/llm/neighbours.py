@@ -2,14 +2,16 @@
 
 Every vector belongs to the list of its nearest centre (centres from a bounded sample); a query
 probes the lists of its nearest centres, as many as a trial on the sample needs for the wanted
-recall. Within a list vectors are rotated at random and scanned in blocks of columns: after each
+recall, and further ones until they hold more than enough vectors; a query that then still has fewer
+neighbours than there are looks through all lists. Within a list vectors are rotated at random and scanned in blocks of columns: after each
 block a test on the partial distance abandons candidates that are too far with near certainty.
 Those left are compared exactly, in double precision, on the original vectors.
 
 Lists are dealt in blocks of bounded size, so a list of many equal vectors is many tasks; queries
 of a list too. Vectors that are null, zero, of another dimension than most, or hold null or
 non-finite components, and rows without vec_id, take no part. Rows that repeat a vec_id count as
-one candidate, at the nearest of their vectors, and as one query, with the first of them."""
+one candidate, at the nearest of their vectors, and as one query, with the least of them by
+components."""
 
 from __future__ import annotations
 
@@ -22,12 +24,15 @@ from .shared import cut, table
 
 NEAREST = 10
 #: Rows that the centres and the number of probes are fitted to, at most.
-SAMPLE = 16_384
-LIST_ROWS, MOST_LISTS = 1024, 1024
+SAMPLE = 65_536
+#: Lists hold about LIST_ROWS rows each; beyond MOST_LISTS of them (4 million rows) they grow.
+LIST_ROWS, MOST_LISTS = 1024, 4096
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 2048
 #: Recall that the probes must reach in the trial.
 RECALL = 0.97
 COLUMNS = 16
+#: Vectors with larger components are searched in double precision, as their squares overflow.
+LARGE = 1e15
 #: Of the test: how many deviations a partial distance may be beyond the bound.
 CAUTION = 2.1
 
@@ -69,7 +74,8 @@ def probes(sample: np.ndarray, c: np.ndarray, recall: float, k: int = NEAREST) -
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return np.asarray(column.flatten(), np.float32).reshape(-1, dim)
+    out = np.asarray(column.flatten(), np.float32).reshape(-1, dim)
+    return out.astype(np.float64) if np.abs(out).max(initial=0) > LARGE else out
 
 
 def _assigned(index):
@@ -84,35 +90,38 @@ def _assigned(index):
 
 def _probed(index):
     def run(batches):
-        c, n = index.value
+        c, n, sizes, k = index.value
         for batch in batches:
-            near = np.argsort(squared(_matrix(batch.column("vector"), c.shape[1]), c), 1)[:, :n]
-            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(list(near.astype(np.int32)), pa.list_(pa.int32()))], names=["query_id", "vector", "lists"])
+            near = np.argsort(squared(_matrix(batch.column("vector"), c.shape[1]), c), 1)
+            held = np.cumsum(sizes[near], 1)
+            enough = np.maximum(n, (held < k + 1).sum(1) + 1)  # lists that hold k besides the query itself
+            lists = [row[:m].astype(np.int32) for row, m in zip(near, enough.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vector"), pa.array(lists, pa.list_(pa.int32()))], names=["query_id", "vector", "lists"])
 
     return run
 
 
-def scan(query: np.ndarray, turned: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: int, k: int, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """ids and exact distances of the k nearest, ties to smaller ids."""
-    left = np.flatnonzero(ids != own)
+def scan(query: np.ndarray, turned: np.ndarray, vectors: np.ndarray, ids: np.ndarray, first: np.ndarray, own: int, k: int, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """ids and exact distances of the k nearest, ties to smaller ids. first: of some ids a row each,
+    from which the bound comes."""
     exact = lambda at: np.sqrt(((vectors[at].astype(np.float64) - query.astype(np.float64)) ** 2).sum(1))
-    first = left[: 4 * k]
-    bound = np.partition(exact(first), k - 1)[k - 1] if len(first) >= k else np.inf
-    rest = left[4 * k :]
-    if np.isfinite(bound) and len(rest):
+    near = exact(first[ids[first] != own])
+    bound = np.partition(near, k - 1)[k - 1] if len(near) >= k else np.inf
+    left = np.flatnonzero(ids != own)
+    if np.isfinite(bound):
         q = query @ turn
         dim = len(q)
-        partial = np.zeros(len(rest), np.float32)
+        partial = np.zeros(len(left), turned.dtype)
         for a in range(0, dim, COLUMNS):
             b = min(a + COLUMNS, dim)
-            partial += ((turned[rest, a:b] - q[a:b]) ** 2).sum(1)
+            partial += ((turned[left, a:b] - q[a:b]) ** 2).sum(1)
             limit = bound * (1 + CAUTION / np.sqrt(b)) * np.sqrt(b / dim) if b < dim else bound * (1 + 1e-4) + 1e-6
-            near = partial <= limit**2
-            rest, partial = rest[near], partial[near]
-    at = np.concatenate([first, rest])
-    d = exact(at)
-    order = np.lexsort((ids[at], d))
-    at, d = ids[at][order], d[order]
+            kept = partial <= limit**2
+            left, partial = left[kept], partial[kept]
+        left = np.union1d(left, first[ids[first] != own])
+    d = exact(left)
+    order = np.lexsort((ids[left], d))
+    at, d = ids[left][order], d[order]
     _, unique = np.unique(at, return_index=True)  # the nearest row of each vec_id
     unique = np.sort(unique)[:k]
     return at[unique], d[unique]
@@ -126,8 +135,9 @@ def _searched(index):
             x, ids = _matrix(vectors.column("vector"), dim), vectors.column("vec_id").to_numpy()
             turn = rotation(dim)
             turned = x @ turn
+            first = np.unique(ids, return_index=True)[1][: 4 * k]
             for q, own in zip(_matrix(queries.column("vector"), dim), queries.column("query_id").to_numpy(), strict=True):
-                at, d = scan(q, turned, x, ids, own, k, turn)
+                at, d = scan(q, turned, x, ids, first, own, k, turn)
                 out_q.append(np.full(len(at), own))
                 out_v.append(at)
                 out_d.append(d)
@@ -153,21 +163,38 @@ def search(embeddings: DataFrame, is_query: F.Column, k: int = NEAREST, recall:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, n = sizes
     rows = rows.filter(F.size("vector") == dim)
-    sample = np.array([r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").collect()], np.float32)
-    lists = int(min(max(1, n // LIST_ROWS), MOST_LISTS, max(1, len(sample) // 16)))
+    lists = int(min(max(1, n // LIST_ROWS), MOST_LISTS))
+    sample = np.array([r[0] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(SAMPLE, max(16_384, 16 * lists))).select("vector").collect()], np.float32)
+    sample = sample.astype(np.float64) if np.abs(sample).max() > LARGE else sample
+    lists = max(1, min(lists, len(sample) // 16))
     c = centres(sample, lists)
-    n_probes = probes(sample, c, recall, k)
     share = lambda x: spark.sparkContext.broadcast(x)
     assigned = cut(rows.mapInArrow(_assigned(share(c)), "vec_id long, vector array<float>, list int"), "lists")
-    asked = cut(rows.filter(is_query).dropDuplicates(["vec_id"]).mapInArrow(_probed(share((c, n_probes))), "query_id long, vector array<float>, lists array<int>").select("query_id", "vector", F.explode("lists").alias("list")), "probes")
-    held = {r["list"]: r["n"] for r in assigned.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}  # MOST_LISTS rows
+    sizes, held = np.zeros(lists, np.int64), np.zeros(lists, np.int64)
+    for r in assigned.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("vec_id").alias("ids")).collect():  # MOST_LISTS rows
+        held[r["list"]], sizes[r["list"]] = r["n"], r["ids"]
+    asking = rows.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    asked = cut(asking.mapInArrow(_probed(share((c, probes(sample, c, recall, k), sizes, k))), "query_id long, vector array<float>, lists array<int>"), "probes")
+    near = cut(_nearest(assigned, held, asked, dim, k), "nearest")
+    ids = assigned.select("vec_id").distinct().limit(k + 1).count() - 1  # neighbours that a query can have, as far as it matters
+    few = asked.join(near.groupBy("query_id").agg(F.count(F.lit(1)).alias("found")), "query_id", "left").filter(F.coalesce("found", F.lit(0)) < min(k, ids))
+    few = cut(few.select("query_id", "vector", F.sequence(F.lit(0), F.lit(lists - 1)).alias("lists")), "few")
+    if few.isEmpty():
+        return near
+    return near.join(few, "query_id", "left_anti").unionByName(_nearest(assigned, held, few, dim, k))
+
+
+def _nearest(assigned: DataFrame, held: np.ndarray, asked: DataFrame, dim: int, k: int) -> DataFrame:
+    """The k nearest of each query in the lists that it asks; held: rows of each list."""
+    spark, lists = assigned.sparkSession, len(held)
+    asked = asked.select("query_id", "vector", F.explode("lists").alias("list"))
     wanted = {r["list"]: r["n"] for r in asked.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = F.element_at(F.array(*[F.lit(-(-held.get(i, 1) // BLOCK_ROWS)) for i in range(lists)]), F.col("list") + 1)
-    query_blocks = F.element_at(F.array(*[F.lit(-(-wanted.get(i, 1) // BLOCK_QUERIES)) for i in range(lists)]), F.col("list") + 1)
+    blocks = F.element_at(F.lit([-(-max(int(x), 1) // BLOCK_ROWS) for x in held]), F.col("list") + 1)
+    query_blocks = F.element_at(F.lit([-(-wanted.get(i, 1) // BLOCK_QUERIES) for i in range(lists)]), F.col("list") + 1)
     left = assigned.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks)).withColumn("query_block", F.explode(F.sequence(F.lit(0), query_blocks - 1)))
     right = asked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), query_blocks).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long"))))
     key = ["list", "block", "query_block"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_searched(share((dim, k))), "query_id long, vec_id long, score double")
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_searched(spark.sparkContext.broadcast((dim, k))), "query_id long, vec_id long, score double")
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
