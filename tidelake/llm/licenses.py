@@ -201,8 +201,8 @@ def published() -> dict[str, list[str]]:
 def scan(docs: DataFrame, licenses: dict[str, list[str]] | None = None) -> DataFrame:
     """doc_id, digest, license (of the whole text, or null), notices (licences of its lines, sorted,
     comma-joined), n_notices (lines that are notices) of every row. The lists of known licences are
-    arguments, of a size that a program holds anyway; Spark compares it with its broadcast limit.
-    Only lines of a notice's length are hashed; texts are read once."""
+    arguments, of a size that a program holds anyway, and are broadcast (some 1,000 digests for the
+    built-in ones), so that a text or line with many copies goes nowhere. Only lines of a notice's length are hashed; texts are read once."""
     spark = docs.sparkSession
     texts = licenses if licenses is not None else {k: [*NOTICES.get(k, []), *([TEXTS[k]] if k in TEXTS else [])] for k in {**NOTICES, **TEXTS}}
     whole = known(spark, texts if licenses is not None else {k: [*texts.get(k, []), *published().get(k, [])] for k in {**texts, **published()}})
@@ -212,9 +212,9 @@ def scan(docs: DataFrame, licenses: dict[str, list[str]] | None = None) -> DataF
     of_length = F.filter(canonical_lines(F.col("text")), lambda x: F.length(x).isin(lengths)) if lengths else none
     rows = cut(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", digest(F.col("text")).alias("digest"), F.coalesce(of_length, none).alias("lines")), "canonical")
     line = F.sha2(_equal_spellings(F.col("line")), 256).alias("digest")
-    found = rows.filter(F.size("lines") > 0).select("row", F.explode("lines").alias("line")).select("row", line).join(notices, "digest")
+    found = rows.filter(F.size("lines") > 0).select("row", F.explode("lines").alias("line")).select("row", line).join(F.broadcast(notices), "digest")
     per_row = found.groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("notices"), F.count(F.lit(1)).alias("n_notices"))
-    joined = rows.drop("lines").join(whole.filter("digest is not null"), "digest", "left").join(per_row, "row", "left")
+    joined = rows.drop("lines").join(F.broadcast(whole.filter("digest is not null")), "digest", "left").join(per_row, "row", "left")
     return joined.select("doc_id", "digest", "license", F.coalesce("notices", F.lit("")).alias("notices"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices"))
 
 
