@@ -471,3 +471,105 @@ def test_licenses_against_sql(spark):
     expected = con.execute(licenses.sql()).fetchall()
     got = [tuple(r) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(got, key=str) == sorted(expected, key=str) and sum(r[2] is not None for r in got) == 3
+
+
+def discriminant(x, y, apply):
+    """Quality scores by the textbook formulas, without the curve: differences of log densities."""
+    scatter = [np.cov(x[y == k].T, bias=True) for k in (0, 1)]
+    n = [(y == k).sum() for k in (0, 1)]
+    pooled = (n[0] * scatter[0] + n[1] * scatter[1]) / sum(n)
+    density = []
+    for k in (0, 1):
+        own = quality.POOLED + (1 - quality.POOLED) * min(1, x.shape[1] / n[k])
+        s = (1 - own) * scatter[k] + own * pooled
+        s = (1 - quality.DIAGONAL) * s + quality.DIAGONAL * np.diag(np.diag(s)) + quality.RIDGE * np.eye(len(s))
+        d = apply - x[y == k].mean(0)
+        density.append(-0.5 * np.einsum("ij,jk,ik->i", d, np.linalg.inv(s), d) - 0.5 * np.linalg.slogdet(s)[1])
+    return density[1] - density[0]
+
+
+def test_quality_against_textbook(spark):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(WORDS).upper() if rng.random() < (0.1 if i % 2 else 0.4) else rng.choice(WORDS) + ("." if rng.random() < 0.1 else "") for _ in range(rng.randint(5, 120))) for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(0, 300)] + [(5, 0, 0), (7, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    y = np.array([0 if i == 5 else i % 2 for i in range(300)])
+    x = quality.statistics(pa.array(texts))
+    learns = np.array([zlib.crc32(str(i).encode()) % 5 != 0 for i in range(300)])
+    expected = discriminant(x[learns], y[learns], x)
+    got = by_id(quality.score(df, labels))
+    assert [got[i]["held_out"] for i in range(300)] == (~learns).tolist()
+    score = np.array([got[i]["score"] for i in range(300)])
+    logit = np.log(score / (1 - score))
+    # the curve is a line over the signed logarithm of the difference
+    squashed = np.sign(expected) * np.log1p(np.abs(expected))
+    inner = (np.abs(logit) < 30)
+    slope, offset = np.polyfit(squashed[inner], logit[inner], 1)
+    assert slope > 0 and np.abs(slope * squashed[inner] + offset - logit[inner]).max() < 1e-6
+    assert sorted(quality.keep_good(df, labels).select("doc_id").toPandas()["doc_id"]) == [i for i in range(300) if got[i]["predicted"]]
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path, monkeypatch):
+    """Each stage's rows, as run() writes them, against a plain version over its predecessor's."""
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    item, key = prose(40, 4000), "AKIA" + "B" * 16
+    base = prose(120, 4001)
+    near = " ".join(["other", *base.split()[1:]])
+    good = [base, near, base, prose(60, 4002) + f" token = {key}. " + prose(30, 4003), prose(20, 4004) + " " + item, prose(900, 4005) + " " + " ".join(item.split()[3:17]), "", None, *(prose(80, 4100 + i) for i in range(60))]
+    bad = [" ".join(w.upper() + "!!" for w in prose(80, 4200 + i).split()) for i in range(60)]
+    texts = [*good, *bad]
+    spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i < len(good)), 0) for i in range(8, len(texts))], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    seen, cut = [], corpus_pipeline.cut
+    monkeypatch.setattr(corpus_pipeline, "cut", lambda df, name: seen.append((name, out := cut(df, name))) or out)
+    corpus_pipeline.run(spark, str(tmp_path))
+    assert [n for n, _ in seen] == [n for n, _ in corpus_pipeline.STAGES]
+    docs = [{r["doc_id"]: r["text"] for r in df.collect()} for _, df in seen[:4]]
+    labels = spark.read.parquet(f"{tmp_path}/labels.parquet")
+    predicted = by_id(quality.score(spark.read.parquet(f"{tmp_path}/documents.parquet"), labels))
+    assert docs[0] == {i: t for i, t in enumerate(texts) if predicted[i]["predicted"]}
+    assert not any(i >= len(good) for i in docs[0]) and set(range(8, len(good))) <= set(docs[0])
+    kept = {}
+    for i, t in sorted(docs[0].items()):
+        if not any(t and (t == u or jaccard(t, u) >= 0.8) for u in kept.values()):
+            kept[i] = t
+    assert docs[1] == kept and (0 in docs[0]) == (0 in kept) and 2 not in kept
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = {tuple(item.split()[a : a + 13]) for a in range(28)}
+    clean = {}
+    for i, t in docs[1].items():
+        spans = list(word.finditer((t or "").lower()))
+        hit = {k for a in range(len(spans)) if tuple(s[0] for s in spans[a : a + 13]) in windows for k in range(a, a + 13)}
+        if not hit or 20 * len(hit) < len(spans):
+            edges = sorted(hit)
+            clean[i] = t if not hit else t[: spans[edges[0]].start()] + t[spans[edges[-1]].end() :]
+    assert docs[2] == clean and 4 not in clean
+    assert docs[3] == {i: t.replace(f"token = {key}.", secrets.MARK) if t else t for i, t in clean.items()}
+    t = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    got = {}
+    for r in seen[4][1].collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["ids_crc32"]))
+    for i, text in docs[3].items():
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        assert sorted(got[i])[-1][0] + sorted(got[i])[-1][1] == len(ids)
+        assert all(zlib.crc32(ids[a : a + n].tobytes()) == c for a, n, c in got[i])
+    assert set(got) == set(docs[3])
+
+
+def test_clashing_names_and_empty_tables(spark, nothing):
+    """Further columns with the names that operators use inside, and no rows at all."""
+    extra = spark.createDataFrame([(1, "token = abcdefgh12", 1, 2, 3, 4, 5), (1, None, 1, 2, 3, 4, 5)], "doc_id long, text string, blob int, spans int, salt int, digest int, `was cut` int")
+    assert secrets.redact(extra).columns == extra.columns and sorted(str(r["text"]) for r in secrets.redact(extra).collect()) == ["None", "[SECRET]"]
+    assert near_dedup.keep_one(extra).count() == 2 and near_dedup.keep_one(extra).columns == extra.columns
+    items = spark.createDataFrame([(1, "x y")], "item_id long, text string")
+    assert decontaminate.decontaminate(extra, items).columns == extra.columns
+    long = spark.createDataFrame([(1, "token = " + "a" * 3_000_000, "x"), (2, "w " * 1_000_000, "x")], "doc_id long, text string, hash string")
+    assert by_id(secrets.redact(long))[1]["text"] == "[SECRET]" and decontaminate.match_benchmark(long, items).agg(F.sum("n_words")).first()[0] == 1_000_002
+    assert language_model.score(long).agg(F.sum("n_tokens")).first()[0] == 1_000_005 and licenses.scan(long).count() == 2
+    pages = spark.createDataFrame([], "page_id long, url string, html string, digest int")
+    assert warc.read(warc.write(pages, new_path(spark, "warc"))).count() == 0
+    assert neighbours.search(spark.createDataFrame([(0, [1.0, 2.0], 1), (1, [1.0, 2.5], 1)], "vec_id long, embedding array<float>, list int"), F.col("vec_id") == 0).count() == 1
