@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .shared import cut
 
+#: Tasks that the edges of one node are dealt to.
+SALTS = 16
+
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -15,11 +18,12 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Large star: every neighbour above u is tied to the least of u and its neighbours. Small
     star: the neighbours below u, and u, are tied to the least of them."""
-    near = _both_ways(edges).filter("u <> v")
+    near = _both_ways(edges).filter("u <> v").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
     if not large:
         near = near.filter("v < u")
-    least = near.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    tied = near.join(least, "u")
+    # the edges of one node go to SALTS tasks, and its least neighbour to those that have some
+    least = near.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"), F.collect_set("salt").alias("salts"))
+    tied = near.join(least.select("u", "m", F.explode("salts").alias("salt")), ["u", "salt"])
     out = tied.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else tied.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.filter("u <> v").distinct()
 
