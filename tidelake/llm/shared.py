@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -11,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that a task holds as numpy arrays at once (each byte becomes about 30).
@@ -93,5 +95,5 @@ class Steps:
     def drop(self, *names: str) -> None:
         for name in names:
             for path in self._paths.pop(name, ()):
-                where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+                fs, where = pafs.FileSystem.from_uri(path if "://" in path else os.path.abspath(path.removeprefix("file:")))
+                fs.delete_dir(where)
