@@ -464,7 +464,7 @@ def test_licenses_against_sql(spark):
     import duckdb
 
     full = lambda name: open(f"{licenses.FOLDER}/{name}.txt", encoding="utf-8").read()
-    rows = [(i, t) for i, t in enumerate([full("Apache-2.0"), full("MPL-2.0"), "MIT License\n\nCopyright (c) 1\n\n" + licenses.TEXTS["MIT"], "Licensed under the MIT Licence\nmore", None, "", "paper center, per cent"])]
+    rows = [(i, t) for i, t in enumerate([full("Apache-2.0"), full("MPL-2.0"), "MIT License\n\nCopyright (c) 1\n\n" + licenses.TEXTS["MIT"], "Licensed under the MIT Licence\nmore", "x\n  All rights reserved. \n(c) y", None, "", "paper center, per cent"])]
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")
     con.executemany("insert into documents values (?, ?)", rows)

@@ -136,7 +136,7 @@ def canonical_lines(text: Column) -> Column:
     """The lines of a text, all made canonical at once but for their spellings."""
     plain = F.regexp_replace(F.translate(text, _UPPER, _LOWER), COPYRIGHT, "")
     spaced = F.regexp_replace(plain, r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+", " ")
-    return F.transform(F.split(spaced, "\n", -1), F.trim)
+    return F.transform(F.split(spaced, "\n", -1), lambda line: F.trim(line))
 
 
 def digest(text: Column) -> Column:
