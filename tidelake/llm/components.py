@@ -28,15 +28,20 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether some node is tied to several others, or to one that is itself tied: edges are no
+    stars yet. Counted from one row for each node and task."""
+    tied = edges.select(F.col("u").alias("node"), F.col("v").alias("to"), F.lit(False).alias("centre"))
+    centres = edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("to"), F.lit(True).alias("centre"))
+    nodes = tied.unionByName(centres).groupBy("node").agg(F.min("to").alias("a"), F.max("to").alias("b"), F.max("centre").alias("centre"))
+    return nodes.filter(F.col("a").isNotNull() & ((F.col("a") < F.col("b")) | F.col("centre"))).agg(F.count(F.lit(1))).first()[0] > 0
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, class (its component's least node) of every node of edges (u, v). The number of
-    rounds grows with the logarithm of the longest path; each round ends in the shared folder."""
-    now = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "edges")
-    mark = None
-    while True:
+    """node, class (its component's least node) of every node of edges (u, v), which are read several
+    times and should be written before. The number of rounds grows with the logarithm of the longest
+    path; each round ends in the shared folder. Edges that are stars already need none."""
+    now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v")
+    while _unfinished(now):
         now = cut(_star(_star(now, True), False), "stars")
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark:
-            break
-        mark = seen
     return now.select(F.col("u").alias("node"), F.col("v").alias("class")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("class"))).distinct()

@@ -292,7 +292,8 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     second = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.doc_id") < F.col("b.doc_id")) & (F.col("a.class") != F.col("b.class")) & _could_link() & once).select(F.col("a.doc_id").alias("u"), F.col("b.doc_id").alias("v"))
     second = steps.cut(second.join(first, ["u", "v"], "left_anti"), "more_pairs")
     steps.drop("rest", "texts")
-    links = steps.cut(links.unionByName(_linked(second, rows, alike, steps)), "links")
+    # the classes found so far stand for their links
+    links = steps.cut(parts.select(F.col("node").alias("u"), F.col("class").alias("v")).filter("u <> v").unionByName(_linked(second, rows, alike, steps)), "links")
     steps.drop("sequences", "wanted", "pairs", "more_pairs")
     parts = components(links)
     classes = _spread(parts.join(alike, parts["node"] == alike["text_id"]).select("text_id", "class", "least"), alike)
